@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,7 +115,7 @@ def _slices(batch: pa.RecordBatch, rows: int, chars: int, text: str) -> Iterator
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.names.index(text))), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.names.index(text))), 0).to_pylist()
     at, total = 0, 0
     for i, n in enumerate(sizes):
         if i > at and (i - at >= rows or total + n > chars):
@@ -125,8 +126,6 @@ def _slices(batch: pa.RecordBatch, rows: int, chars: int, text: str) -> Iterator
 
 
 def _arrow_schema(schema: str) -> pa.Schema:
-    import pyarrow.compute  # noqa: F401
-
     return to_arrow(T._parse_datatype_string(schema))
 
 
