@@ -28,6 +28,8 @@ BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Stars drawn per bucket: the second and third gather the rows unlike the centres before them.
 ROUNDS = 3
+#: Share of sketch values that must agree before contents are compared: five standard deviations under a pair at 0.75.
+LIKELY = 0.45
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -104,17 +106,28 @@ def similarity(a: str, b: str) -> float:
     return jaccard(*(np.unique(windows([content(x)])[1]) for x in (a, b)))
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """Four bits of every signature value, two to a byte."""
+    low = (_mix(sig + _POWERS[4]) & np.uint64(15)).astype(np.uint8)
+    return low[:, ::2] << 4 | low[:, 1::2]
+
+
 def _rows(part: dict) -> dict:
     body = [content(t) for t in part["text"]]
     # texts without a letter or digit are alike only if their forms are equal
     key = [blake2b((c or "\0" + one_form(t)).encode("utf-8", "surrogatepass"), digest_size=16).digest() for c, t in zip(body, part["text"])]
-    return {"tab": part["tab"], "rec_id": part["rec_id"], "key": key, "body": body}
+    sig = signatures(body)
+    b = np.ascontiguousarray(bands(sig))
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, b.size + 1, BANDS), pa.int32()), pa.array(b.ravel(), pa.int64()))
+    return {"tab": part["tab"], "rec_id": part["rec_id"], "key": key, "body": body, "bands": lists, "sketch": [x.tobytes() for x in sketches(sig)]}
 
 
-def _banded(part: dict) -> dict:
-    b = bands(signatures(part["body"])) if part["body"] else np.zeros((0, BANDS), np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(b) * BANDS + 1, BANDS), pa.int32()), pa.array(b.ravel(), pa.int64()))
-    return {"tab": part["tab"], "rec_id": part["rec_id"], "bands": lists}
+def _near(part: dict) -> dict:
+    """Edges whose sketches agree so rarely that the similarity can't reach the threshold have likely = False."""
+    a, b = (np.frombuffer(b"".join(part[x]), np.uint8).reshape(-1, BINS // 2) for x in ("sketch_a", "sketch_b"))
+    x = a ^ b
+    agree = ((x >> 4) == 0).sum(1) + ((x & 15) == 0).sum(1)
+    return {"tab": part["tab"], "a": part["a"], "b": part["b"], "likely": (agree >= LIKELY * BINS).tolist()}
 
 
 def _checked(part: dict) -> dict:
@@ -129,14 +142,10 @@ def _checked(part: dict) -> dict:
     return {"tab": part["tab"], "a": part["a"], "b": part["b"], "sim": sims}
 
 
-def _verify(edges: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(tab, a, b, sim) of the distinct edges. Only the contents that edges name are shuffled to them."""
-    ends = edges.select("tab", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
-    named = bodies.join(ends, ["tab", "rec_id"], "left_semi").select("tab", "rec_id", "body")
-    both = edges.join(named.select("tab", F.col("rec_id").alias("a"), F.col("body").alias("body_a")), ["tab", "a"]).join(
-        named.select("tab", F.col("rec_id").alias("b"), F.col("body").alias("body_b")), ["tab", "b"]
-    )
-    return common.map_batches(both, _checked, "tab string, a long, b long, sim double", rows=1000, text="body_a")
+def _with(edges: DataFrame, of: DataFrame, col: str) -> DataFrame:
+    """The edges with a column of their two ends."""
+    ends = [of.select("tab", F.col("rec_id").alias(x), F.col(col).alias(f"{col}_{x}")) for x in "ab"]
+    return edges.join(ends[0], ["tab", "a"]).join(ends[1], ["tab", "b"])
 
 
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -145,37 +154,39 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     members (tab, rec_id, rep): every row of non-null text with its class's least id; a class is the rows of equal content.
     links (tab, a, b, sim): pairs of representatives a < b of one table with similarity >= threshold.
     Null texts are in neither. Texts without letters or digits have a class by their form and no links. Repeated rows of one
-    id collapse into it. Empty input gives two empty frames.
+    id and content collapse; an id is expected to name one text of its table. Empty input gives two empty frames.
     """
-    rows = common.materialize(common.map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text"), _rows, "tab string, rec_id long, key binary, body string"))
+    schema = "tab string, rec_id long, key binary, body string, bands array<bigint>, sketch binary"
+    rows = common.materialize(common.map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text"), _rows, schema))
+    # a class's copies are folded before the shuffle where they meet in one task
     reps = rows.groupBy("tab", "key").agg(F.min("rec_id").alias("rep"))
     members = common.materialize(rows.select("tab", "rec_id", "key").join(reps, ["tab", "key"]).select("tab", "rec_id", "rep").distinct())
-    bodies = rows.join(members.where("rec_id = rep").select("tab", "rec_id"), ["tab", "rec_id"], "left_semi").where("body <> ''")
-    bodies = common.materialize(bodies.select("tab", "rec_id", "body").dropDuplicates(["tab", "rec_id"]))
-    bucketed = common.map_batches(bodies, _banded, "tab string, rec_id long, bands array<bigint>", text="body").select("tab", "rec_id", F.explode("bands").alias("bucket"))
-
-    shared = bucketed.groupBy("tab", "bucket").agg(F.min("rec_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("tab", "bucket", "a")
-    stars = common.materialize(bucketed.join(shared, ["tab", "bucket"]).where("rec_id <> a").select("tab", "bucket", "a", F.col("rec_id").alias("b")))
-    checked = None
-    for k in range(ROUNDS):
+    own = members.where("rec_id = rep").select("tab", "rec_id")
+    nodes = rows.where("body <> ''").select("tab", "rec_id", "bands", "sketch").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
+    nodes = common.materialize(nodes)
+    bucketed = nodes.select("tab", F.col("rec_id"), F.explode("bands").alias("bucket"))
+
+    held, checked = bucketed, None
+    for _ in range(ROUNDS):
+        centres = held.groupBy("tab", "bucket").agg(F.min("rec_id").alias("a"), F.max("rec_id").alias("z")).where("a < z").select("tab", "bucket", "a")
+        stars = common.materialize(held.join(centres, ["tab", "bucket"]).where("rec_id <> a").select("tab", "bucket", "a", F.col("rec_id").alias("b")))
         edges = stars.select("tab", "a", "b").distinct()
         if checked is not None:
             edges = edges.join(checked, ["tab", "a", "b"], "left_anti")
-        fresh = common.materialize(_verify(edges, bodies))
+        fresh = common.materialize(common.map_batches(_with(edges, nodes, "sketch"), _near, "tab string, a long, b long, likely boolean", rows=20_000))
         checked = fresh if checked is None else checked.unionByName(fresh)
-        if k + 1 == ROUNDS:
-            break
         # what is unlike its centre draws the next star of its bucket
-        left = stars.join(checked.where(F.col("sim") < threshold), ["tab", "a", "b"]).select("tab", "bucket", F.col("b").alias("rec_id"))
-        centres = left.groupBy("tab", "bucket").agg(F.min("rec_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("tab", "bucket", "a")
-        stars = common.materialize(left.join(centres, ["tab", "bucket"]).where("rec_id <> a").select("tab", "bucket", "a", F.col("rec_id").alias("b")))
+        held = stars.join(checked.where("NOT likely"), ["tab", "a", "b"]).select("tab", "bucket", F.col("b").alias("rec_id"))
 
-    good = common.materialize(checked.where(F.col("sim") >= threshold))
+    good = common.materialize(checked.where("likely").select("tab", "a", "b"))
     ties = good.select("tab", F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(good.select("tab", F.col("b").alias("mid"), F.col("a").alias("end")))
-    other = ties.withColumnRenamed("end", "b")
-    paths = ties.withColumnRenamed("end", "a").join(other, ["tab", "mid"]).where("a < b").select("tab", "a", "b").distinct()
-    paths = paths.join(checked, ["tab", "a", "b"], "left_anti")
-    return members, good.unionByName(_verify(paths, bodies).where(F.col("sim") >= threshold))
+    paths = ties.withColumnRenamed("end", "a").join(ties.withColumnRenamed("end", "b"), ["tab", "mid"]).where("a < b").select("tab", "a", "b")
+    edges = common.materialize(good.unionByName(paths).distinct())
+    # only the contents that edges name are shuffled to them
+    named = edges.select("tab", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
+    bodies = common.materialize(rows.select("tab", "rec_id", "body").join(named, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"]))
+    links = common.map_batches(_with(edges, bodies, "body"), _checked, "tab string, a long, b long, sim double", rows=1000, text="body_a")
+    return members, links.where(F.col("sim") >= threshold)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
