@@ -20,6 +20,8 @@ from .encode import count_tokens
 CAPACITY = 2048
 #: Configurations priced for the linear program.
 PRICED = 300
+#: Configurations of the program less full than this (lengths that ran out) are left to the rest.
+FULL = 0.995
 #: A length's documents are ranked in so many parts, so that a length of a third of all rows isn't ranked in one task.
 SALTS = 64
 
@@ -85,29 +87,19 @@ def configurations(counts: np.ndarray, capacity: int = CAPACITY, priced: int = P
             left[ell] -= n * times
 
     for config, x in sorted(linear_program(left, capacity, priced), key=lambda c: -c[1]):
+        if sum(ell * n for ell, n in config.items()) < FULL * capacity:
+            continue
         times = min(int(x), *(int(left[ell] // n) for ell, n in config.items()))
         if times > 0:
             take(config, times)
     while left.any():
-        config, room = {}, capacity
-        # the longest item that fits, again and again
-        while room:
-            fits = np.flatnonzero(left[: room + 1] > 0)
-            if not len(fits):
-                break
+        # the longest item that still fits, again and again
+        config, room, rest = {}, capacity, left.copy()
+        while len(fits := np.flatnonzero(rest[: room + 1] > 0)):
             ell = int(fits[-1])
-            n = min(room // ell, int(left[ell]) - config.get(ell, 0))
-            if n <= 0:
-                left_here = left[: room + 1].copy()
-                for e, m in config.items():
-                    if e <= room:
-                        left_here[e] -= m
-                fits = np.flatnonzero(left_here > 0)
-                if not len(fits):
-                    break
-                ell = int(fits[-1])
-                n = min(room // ell, int(left_here[ell]))
-            config[ell] = config.get(ell, 0) + n
+            n = min(room // ell, int(rest[ell]))
+            config[ell] = n
+            rest[ell] = 0
             room -= n * ell
         take(config, min(int(left[ell] // n) for ell, n in config.items()))
     return out
