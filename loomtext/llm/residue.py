@@ -239,7 +239,7 @@ PLACEHOLDER = re.compile(
     | (?<!\#0\ )\{[$:@]?[A-Za-z_一-鿿][\w.\-]*\} | \{\d\}
     | <<[\w.\- ]{1,40}>> | <[\w一-鿿]{1,12}占位> | &lt;[\w.]{1,40}&gt;
     | \[\[[\w.\- ]{1,40}\]\] | \[(?:INSERT|Insert|TODO|TBD|FIXME|Your|ENTER|Enter|在此|此处|请在|请填)[^\[\]\n]{0,40}\]
-    | %[A-Z][A-Z_.]+% | (?<!\d)%[sd](?![A-Za-z]) | (?<!\d)%s | %s(?![A-Za-z])
+    | %[A-Z][A-Z_.]+% | %\([\w.]{1,40}\)[sd] | (?<!\d)%[sd](?![A-Za-z]) | (?<!\d)%s | %s(?![A-Za-z])
     | \$[A-Z][A-Z_]+\$ | @@\w+@@ | __[A-Z][A-Z_]*__ | TBD_[A-Z][A-Z_]* | «[A-Z][a-z]+(?:[_.][A-Z][a-z]+)*»
     | \#[一-鿿]{2,8}\# | XXX[一-鿿]{1,10}（待[补填定]） | [xX]{2,4}年[xX]{1,2}月[xX]{1,2}日 | _{2,}年_+月
     | （此处(?:填写|插入|输入)[^）\n]{0,20}） | 【[^】\n]{1,12}】待[填补定]""",
