@@ -23,8 +23,8 @@ from .lookalike import one_form
 
 WIDTH = 5
 THRESHOLD = 0.7
-#: Bands and values per band: of pairs at 0.75 all but one in 6,000 share a bucket, of pairs at 0.2 one in 100 does.
-BANDS, ROWS = 32, 5
+#: Bands and values per band: of pairs at 0.75 all but one in 3,000 share a bucket, of pairs at 0.2 one in 100 does.
+BANDS, ROWS = 30, 5
 BINS = BANDS * ROWS
 #: Stars drawn per bucket: the second and third gather the rows unlike the centres before them.
 ROUNDS = 3
@@ -127,7 +127,7 @@ def _near(part: dict) -> dict:
     a, b = (np.frombuffer(b"".join(part[x]), np.uint8).reshape(-1, BINS // 2) for x in ("sketch_a", "sketch_b"))
     x = a ^ b
     agree = ((x >> 4) == 0).sum(1) + ((x & 15) == 0).sum(1)
-    return {"tab": part["tab"], "a": part["a"], "b": part["b"], "likely": (agree >= LIKELY * BINS).tolist()}
+    return {"t": part["t"], "a": part["a"], "b": part["b"], "likely": (agree >= LIKELY * BINS).tolist()}
 
 
 def _checked(part: dict) -> dict:
@@ -139,13 +139,13 @@ def _checked(part: dict) -> dict:
     cut = np.searchsorted(of, np.arange(len(at) + 1))
     sets = [np.unique(h[a:b]) for a, b in zip(cut[:-1], cut[1:])]
     sims = [jaccard(sets[at[a]], sets[at[b]]) for a, b in zip(part["body_a"], part["body_b"])]
-    return {"tab": part["tab"], "a": part["a"], "b": part["b"], "sim": sims}
+    return {"t": part["t"], "a": part["a"], "b": part["b"], "sim": sims}
 
 
 def _with(edges: DataFrame, of: DataFrame, col: str) -> DataFrame:
     """The edges with a column of their two ends."""
-    ends = [of.select("tab", F.col("rec_id").alias(x), F.col(col).alias(f"{col}_{x}")) for x in "ab"]
-    return edges.join(ends[0], ["tab", "a"]).join(ends[1], ["tab", "b"])
+    ends = [of.select("t", F.col("rec_id").alias(x), F.col(col).alias(f"{col}_{x}")) for x in "ab"]
+    return edges.join(ends[0], ["t", "a"]).join(ends[1], ["t", "b"])
 
 
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -162,31 +162,35 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     reps = rows.groupBy("tab", "key").agg(F.min("rec_id").alias("rep"))
     members = common.materialize(rows.select("tab", "rec_id", "key").join(reps, ["tab", "key"]).select("tab", "rec_id", "rep").distinct())
     own = members.where("rec_id = rep").select("tab", "rec_id")
+    # tables are few; a number is less to shuffle than a name
+    tabs = sorted(r["tab"] for r in members.select("tab").distinct().collect())
+    numbered = lambda d: d.withColumn("t", F.array_position(F.lit(tabs), F.col("tab")).cast("int")) if tabs else d.withColumn("t", F.lit(0))
     nodes = rows.where("body <> ''").select("tab", "rec_id", "bands", "sketch").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
-    nodes = common.materialize(nodes)
-    bucketed = nodes.select("tab", F.col("rec_id"), F.explode("bands").alias("bucket"))
+    nodes = common.materialize(numbered(nodes).drop("tab"))
+    bucketed = nodes.select("t", F.col("rec_id"), F.explode("bands").alias("bucket"))
 
     held, checked = bucketed, None
     for _ in range(ROUNDS):
-        centres = held.groupBy("tab", "bucket").agg(F.min("rec_id").alias("a"), F.max("rec_id").alias("z")).where("a < z").select("tab", "bucket", "a")
-        stars = common.materialize(held.join(centres, ["tab", "bucket"]).where("rec_id <> a").select("tab", "bucket", "a", F.col("rec_id").alias("b")))
-        edges = stars.select("tab", "a", "b").distinct()
+        centres = held.groupBy("t", "bucket").agg(F.min("rec_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("t", "bucket", "a")
+        stars = common.materialize(held.join(centres, ["t", "bucket"]).where("rec_id <> a").select("t", "bucket", "a", F.col("rec_id").alias("b")))
+        edges = stars.select("t", "a", "b").distinct()
         if checked is not None:
-            edges = edges.join(checked, ["tab", "a", "b"], "left_anti")
-        fresh = common.materialize(common.map_batches(_with(edges, nodes, "sketch"), _near, "tab string, a long, b long, likely boolean", rows=20_000))
+            edges = edges.join(checked, ["t", "a", "b"], "left_anti")
+        fresh = common.materialize(common.map_batches(_with(edges, nodes, "sketch"), _near, "t int, a long, b long, likely boolean", rows=20_000))
         checked = fresh if checked is None else checked.unionByName(fresh)
         # what is unlike its centre draws the next star of its bucket
-        held = stars.join(checked.where("NOT likely"), ["tab", "a", "b"]).select("tab", "bucket", F.col("b").alias("rec_id"))
+        held = stars.join(checked.where("NOT likely"), ["t", "a", "b"]).select("t", "bucket", F.col("b").alias("rec_id"))
 
-    good = common.materialize(checked.where("likely").select("tab", "a", "b"))
-    ties = good.select("tab", F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(good.select("tab", F.col("b").alias("mid"), F.col("a").alias("end")))
-    paths = ties.withColumnRenamed("end", "a").join(ties.withColumnRenamed("end", "b"), ["tab", "mid"]).where("a < b").select("tab", "a", "b")
+    good = common.materialize(checked.where("likely").select("t", "a", "b"))
+    ties = good.select("t", F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(good.select("t", F.col("b").alias("mid"), F.col("a").alias("end")))
+    paths = ties.withColumnRenamed("end", "a").join(ties.withColumnRenamed("end", "b"), ["t", "mid"]).where("a < b").select("t", "a", "b")
     edges = common.materialize(good.unionByName(paths).distinct())
     # only the contents that edges name are shuffled to them
-    named = edges.select("tab", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
-    bodies = common.materialize(rows.select("tab", "rec_id", "body").join(named, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"]))
-    links = common.map_batches(_with(edges, bodies, "body"), _checked, "tab string, a long, b long, sim double", rows=1000, text="body_a")
-    return members, links.where(F.col("sim") >= threshold)
+    named = edges.select("t", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
+    bodies = common.materialize(numbered(rows.select("tab", "rec_id", "body")).drop("tab").join(named, ["t", "rec_id"], "left_semi").dropDuplicates(["t", "rec_id"]))
+    links = common.map_batches(_with(edges, bodies, "body"), _checked, "t int, a long, b long, sim double", rows=1000, text="body_a")
+    name = F.element_at(F.lit(tabs), F.col("t")) if tabs else F.lit(None).cast("string")
+    return members, links.where(F.col("sim") >= threshold).select(name.alias("tab"), "a", "b", "sim")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
