@@ -28,7 +28,8 @@ BANDS, ROWS = 30, 5
 BINS = BANDS * ROWS
 #: Stars drawn per bucket: the second and third gather the rows unlike the centres before them.
 ROUNDS = 3
-#: Share of sketch values that must agree before contents are compared: five standard deviations under a pair at 0.75.
+SKETCHED = 64
+#: Share of sketch values that must agree before contents are compared: six standard deviations under a pair at 0.75.
 LIKELY = 0.45
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
@@ -107,8 +108,8 @@ def similarity(a: str, b: str) -> float:
 
 
 def sketches(sig: np.ndarray) -> np.ndarray:
-    """Four bits of every signature value, two to a byte."""
-    low = (_mix(sig + _POWERS[4]) & np.uint64(15)).astype(np.uint8)
+    """Four bits of the first SKETCHED signature values, two to a byte."""
+    low = (_mix(sig[:, :SKETCHED] + _POWERS[4]) & np.uint64(15)).astype(np.uint8)
     return low[:, ::2] << 4 | low[:, 1::2]
 
 
@@ -124,10 +125,10 @@ def _rows(part: dict) -> dict:
 
 def _near(part: dict) -> dict:
     """Edges whose sketches agree so rarely that the similarity can't reach the threshold have likely = False."""
-    a, b = (np.frombuffer(b"".join(part[x]), np.uint8).reshape(-1, BINS // 2) for x in ("sketch_a", "sketch_b"))
+    a, b = (np.frombuffer(b"".join(part[x]), np.uint8).reshape(-1, SKETCHED // 2) for x in ("sketch_a", "sketch_b"))
     x = a ^ b
     agree = ((x >> 4) == 0).sum(1) + ((x & 15) == 0).sum(1)
-    return {"t": part["t"], "a": part["a"], "b": part["b"], "likely": (agree >= LIKELY * BINS).tolist()}
+    return {"t": part["t"], "a": part["a"], "b": part["b"], "likely": (agree >= LIKELY * SKETCHED).tolist()}
 
 
 def _checked(part: dict) -> dict:
