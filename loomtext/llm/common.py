@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -15,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..scratch import materialize, release, shared_dir  # noqa: F401
+
 #: (table, id column, text column) of the two tables most text problems speak of.
 TEXT_TABLES = (("site_documents", "id", "raw_text"), ("chunks", "id", "chunk_text"))
 
-_scratch: list[tuple[SparkSession, str]] = []
-_own_dir: str | None = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,51 +33,6 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where that is unset (tests, local mode)."""
-    global _own_dir
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="loomtext-")
-        atexit.register(shutil.rmtree, _own_dir, True)
-    return "file://" + _own_dir
-
-
-def materialize(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """df written once to the shared folder and read back: lineage ends there, so a lost executor costs no recomputation.
-
-    Columnar (zstd) rather than checkpoint(): later reads prune columns and partitions, and the job runs once.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/loomtext-{uuid.uuid4().hex}"
-    w = df.write.option("compression", "zstd")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    if not _scratch:
-        atexit.register(release)
-    _scratch.append((spark, path))
-    # the schema is known; without it an empty table could not be read back
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release() -> None:
-    """Delete the scratch tables. Results that were not yet written are lost; runs at exit by itself."""
-    while _scratch:
-        spark, path = _scratch.pop()
-        if path.startswith("file:") or path.startswith("/"):
-            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
-            continue
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session is gone; the folder's owner cleans up
-            pass
-
-
 def map_batches(
     df: DataFrame,
     f: Callable[[dict[str, list]], dict[str, Iterable]],
