@@ -20,8 +20,6 @@ from .encode import count_tokens
 CAPACITY = 2048
 #: Configurations priced for the linear program.
 PRICED = 300
-#: Configurations of the program less full than this (lengths that ran out) are left to the rest.
-FULL = 0.995
 #: A length's documents are ranked in so many parts, so that a length of a third of all rows isn't ranked in one task.
 SALTS = 64
 
@@ -29,25 +27,51 @@ Config = tuple[dict[int, int], int]
 
 
 def heaviest(weights: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of greatest weight: unbounded knapsack over 1..capacity, then cut to `most` of each length."""
+    """The configuration of greatest weight with at most most[l] items of length l.
+
+    Lengths that could fill a container are an unbounded knapsack; scarcer ones come before it, a few powers of two of each.
+    """
     lengths = np.flatnonzero(weights[1:] > 0) + 1
     if not len(lengths):
         return {}
-    w = weights[lengths]
-    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(int(lengths[0]), capacity + 1):
-        k = upto[c]
-        total = best[c - lengths[:k]] + w[:k]
-        i = int(total.argmax())
-        best[c], pick[c] = total[i], lengths[i]
+    enough = most[lengths] >= capacity // lengths
+    best = np.zeros(capacity + 1)
+    stages: list[tuple[int, int, np.ndarray]] = []
+    for ell in lengths[~enough].tolist():
+        left, k = int(most[ell]), 1
+        while left > 0:
+            k = min(k, left)
+            left -= k
+            size = ell * k
+            if size > capacity:
+                break
+            total = best[:-size] + weights[ell] * k
+            better = total > best[size:] + 1e-15
+            best = best.copy()
+            best[size:][better] = total[better]
+            stages.append((ell, k, better))
+            k *= 2
+    plenty = lengths[enough]
+    pick = np.zeros(capacity + 1, np.int64)
+    if len(plenty):
+        w = weights[plenty]
+        upto = np.searchsorted(plenty, np.arange(capacity + 1), side="right")
+        for c in range(int(plenty[0]), capacity + 1):
+            k = upto[c]
+            total = best[c - plenty[:k]] + w[:k]
+            i = int(total.argmax())
+            if total[i] > best[c] + 1e-15:
+                best[c], pick[c] = total[i], plenty[i]
     out: dict[int, int] = {}
-    c = capacity
-    while c >= 0 and pick[c]:
+    c = int(best.argmax())
+    while pick[c]:
         ell = int(pick[c])
-        if out.get(ell, 0) < most[ell]:
-            out[ell] = out.get(ell, 0) + 1
+        out[ell] = out.get(ell, 0) + 1
         c -= ell
+    for ell, k, better in reversed(stages):
+        if c >= ell * k and better[c - ell * k]:
+            out[ell] = out.get(ell, 0) + k
+            c -= ell * k
     return out
 
 
@@ -59,10 +83,11 @@ def linear_program(counts: np.ndarray, capacity: int, priced: int = PRICED) -> l
     total = float((need * lengths).sum())
     out: dict[tuple, float] = {}
     rate = 8.0
+    worth = lengths / capacity
     for k in range(priced):
         with np.errstate(divide="ignore", invalid="ignore"):
             done = np.where(need > 0, covered / need, 1.0)
-        weights = np.where(need > 0, lengths / capacity * np.exp(-rate * done), 0.0)
+        weights = np.where(need > 0, worth * np.exp(-rate * done), 0.0)
         config = heaviest(weights, counts, capacity)
         if not config:
             break
@@ -76,7 +101,17 @@ def linear_program(counts: np.ndarray, capacity: int, priced: int = PRICED) -> l
 
 
 def configurations(counts: np.ndarray, capacity: int = CAPACITY, priced: int = PRICED) -> list[Config]:
-    """Whole containers by configuration that hold every item of the histogram exactly once."""
+    """Whole containers by configuration that hold every item of the histogram exactly once.
+
+    The rounded program, or longest-first alone where that needs fewer (small or coarse histograms).
+    """
+    plain = _filled(counts, [], capacity)
+    rounded = _filled(counts, sorted(linear_program(np.where(np.arange(capacity + 1) > 0, counts, 0), capacity, priced), key=lambda c: -c[1]), capacity)
+    return min(rounded, plain, key=lambda x: sum(times for _, times in x))
+
+
+def _filled(counts: np.ndarray, program: list[tuple[dict[int, int], float]], capacity: int) -> list[Config]:
+    """The program's containers rounded down, then longest item first for what is left."""
     left = counts.astype(np.int64).copy()
     left[0] = 0
     out: list[Config] = []
@@ -86,9 +121,7 @@ def configurations(counts: np.ndarray, capacity: int = CAPACITY, priced: int = P
         for ell, n in config.items():
             left[ell] -= n * times
 
-    for config, x in sorted(linear_program(left, capacity, priced), key=lambda c: -c[1]):
-        if sum(ell * n for ell, n in config.items()) < FULL * capacity:
-            continue
+    for config, x in program:
         times = min(int(x), *(int(left[ell] // n) for ell, n in config.items()))
         if times > 0:
             take(config, times)

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from . import common
 from .neardup import _mix
@@ -132,8 +133,8 @@ def repeated_lines(df: DataFrame, least_rows: int = LEAST_ROWS, least_share: flo
     are numbered from 1 between newlines. A row counts once for a line however often it holds it. Repeated ids count as rows.
     """
     rows = df.where(F.col("text").isNotNull()).select(F.col("id").cast("long").alias("id"), "source", "text")
-    keyed = F.udf(_key, "long")
-    per_source = rows.groupBy("source").agg(F.count("*").alias("rows")).select(keyed("source").alias("src"), "rows")
+    keys = lambda part: {"src": [_key(s) for s in part["source"]], "rows": part["rows"]}
+    per_source = common.map_batches(rows.groupBy("source").agg(F.count("*").alias("rows")), keys, "src long, rows long")
     enough = (F.col("n") >= least_rows) & (F.col("n") >= least_share * F.col("rows"))
     counts = common.map_batches(rows.select("source", "text"), _chunk_counts, "src long, chunk long, n long")
     hot = counts.groupBy("src", "chunk").agg(F.sum("n").alias("n")).where(F.col("n") >= least_rows)
@@ -146,8 +147,6 @@ def repeated_lines(df: DataFrame, least_rows: int = LEAST_ROWS, least_share: flo
 
 def without_lines(df: DataFrame, lines: DataFrame) -> DataFrame:
     """df's (id, text) with the (id, line_no) lines cut out. Null texts stay null; other columns are left out."""
-    from pyspark.sql.functions import arrow_udf
-
     def cut(text: str | None, gone) -> str | None:
         if text is None or not gone:
             return text
