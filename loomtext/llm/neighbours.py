@@ -210,4 +210,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select(F.least("rec_id", "other").alias("id_a"), F.greatest("rec_id", "other").alias("id_b")).distinct()
 
 
+SQL = {
+    "p5_found": """
+WITH v AS (SELECT id, list_resize(embedding::DOUBLE[], 64, 0.0::DOUBLE) AS e FROM chunks WHERE embedding IS NOT NULL),
+u AS (SELECT id, e FROM v WHERE list_sum(list_transform(e, lambda x: x * x)) > 0),
+s AS (SELECT a.id AS x, b.id AS y, list_cosine_similarity(a.e, b.e) AS s FROM u a JOIN u b ON a.id <> b.id),
+r AS (SELECT x, y, s, row_number() OVER (PARTITION BY x ORDER BY round(s, 9) DESC, y) AS r FROM s)
+SELECT DISTINCT least(x, y) AS id_a, greatest(x, y) AS id_b FROM r WHERE r <= 5 AND s >= 0.9""",
+}
 QUERIES = {"p5_found": p5_found, "p5_neighbours": p5_neighbours}
