@@ -8,6 +8,7 @@ next sentence would not fit. Every chunk has something new, and the chunks cover
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,28 +27,25 @@ def count(text: str) -> int:
     return sum(1 for _ in _TOKEN.finditer(text))
 
 
-def _spans(text: str, size: int) -> list[tuple[int, int, int]]:
-    """(start, end, tokens) of the sentences; those beyond the size in runs of `size` tokens."""
-    out, at = [], 0
+def _spans(text: str, starts: list[int], size: int) -> list[tuple[int, int, int]]:
+    """(start, end, tokens) of the sentences; those beyond the size in runs of `size` tokens. No token crosses a sentence end."""
+    out, at, first = [], 0, 0
     ends = [(m.start(), m.end()) for m in _END.finditer(text)] + [(len(text), len(text))]
     for a, b in ends:
         if a > at:
-            n = count(text[at:a])
-            if n > size:
-                starts = [m.start() + at for m in _TOKEN.finditer(text[at:a])]
-                for k in range(0, n, size):
-                    end = starts[k + size] if k + size < n else a
-                    out.append((starts[k] if k else at, end, min(size, n - k)))
-            elif n:
-                out.append((at, a, n))
+            last = bisect_left(starts, a, first)
+            n = last - first
+            for k in range(0, n, size):
+                end = starts[first + k + size] if k + size < n else a
+                out.append((starts[first + k] if k else at, end, min(size, n - k)))
+            first = last
         at = max(at, b)
     return out
 
 
-def chunk_spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
+def _packed(spans: list[tuple[int, int, int]], size: int, overlap: int) -> list[tuple[int, int]]:
     if overlap >= size:
         overlap = max(0, size // 4)
-    spans = _spans(text, size)
     out: list[tuple[int, int]] = []
     first = i = total = 0
     while i < len(spans):
@@ -72,14 +70,25 @@ def chunk_spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
     return out
 
 
+def _starts(text: str) -> list[int]:
+    return [m.start() for m in _TOKEN.finditer(text)]
+
+
+def chunk_spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
+    return _packed(_spans(text, _starts(text), size), size, overlap)
+
+
 def chunk_text(text: str | None, config: ChunkConfig | None = None) -> list[dict]:
     """The chunks of one text: index, text, characters, tokens. Chunks below min_chunk characters go and the rest is numbered anew."""
     c = config or ChunkConfig()
+    if not text:
+        return []
     rows: list[dict] = []
-    for a, b in chunk_spans(text, c.size, c.overlap) if text else []:
+    starts = _starts(text)
+    for a, b in _packed(_spans(text, starts, c.size), c.size, c.overlap):
         t = text[a:b].strip()
         if t and len(t) >= c.min_chunk:
-            rows.append({"chunk_index": len(rows), "chunk_text": t, "char_length": len(t), "token_count": count(t)})
+            rows.append({"chunk_index": len(rows), "chunk_text": t, "char_length": len(t), "token_count": bisect_left(starts, b) - bisect_left(starts, a)})
     return rows
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -27,20 +27,26 @@ OVERSAMPLE, POWER_ITERATIONS, SEED = 10, 5, 42
 
 
 def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
-    """(term, df, tf): documents with the term, and its occurrences."""
-    per = df.select(F.explode(F.transform(F.array_distinct(T.terms(F.col(text))), lambda t: t)).alias("term"))
-    total = df.select(F.explode(T.terms(F.col(text))).alias("term"))
-    return per.groupBy("term").agg(F.count("*").alias("df")).join(total.groupBy("term").agg(F.count("*").alias("tf")), "term")
+    """(term, df, tf): documents with the term, and its occurrences. One scan, one shuffle of terms added up before it."""
+    t = T.terms(F.col(text))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    row = lambda d, n: lambda x: F.struct(x.alias("term"), d.alias("d"), n.alias("n"))
+    both = F.concat(F.transform(F.array_distinct(t), row(one, none)), F.transform(t, row(none, one)))
+    return df.where(F.col(text).isNotNull()).select(F.inline(both)).groupBy("term").agg(F.sum("d").alias("df"), F.sum("n").alias("tf"))
 
 
 def term_weights(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, term, weight): sublinear tf x smoothed idf, at unit length for each document. Documents without terms have no rows."""
-    counts = df.select(key, F.explode(T.terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """(key, term, weight): sublinear tf x smoothed idf, at unit length for each document. Documents without terms have no rows.
+
+    Texts are shuffled by document once, before they are taken apart: counting and the documents' norms then need no shuffle of terms.
+    """
     n = df.count()
-    idf = counts.groupBy("term").agg((F.log((1 + F.lit(n)) / (1 + F.count("*"))) + 1).alias("idf"))
-    w = counts.join(idf, "term").select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    rows = df.select(key, text).repartition(F.col(key))
+    counts = rows.select(key, F.explode(T.terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    found = document_frequencies(df, text).select("term", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf"))
+    w = counts.join(found, "term").select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return w.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
 @dataclass
@@ -123,8 +129,7 @@ def fit_lsa(df: DataFrame, text: str = "text", config: EmbeddingConfig | None =
     c = config or EmbeddingConfig()
     docs = materialize(df.where(F.col(text).isNotNull()).select(T.terms(F.col(text)).alias("terms")))
     n = docs.count()
-    each = docs.select(F.monotonically_increasing_id().alias("d"), F.explode("terms").alias("term")).groupBy("d", "term").agg(F.count("*").alias("tf"))
-    freq = each.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+    freq = document_frequencies(df, text)
     vocab = freq.orderBy(F.desc("tf"), "term").limit(c.max_features).toArrow()
     terms = vocab.column("term").to_pylist()
     order = np.argsort(np.array(terms, dtype=object), kind="stable") if terms else np.zeros(0, int)
