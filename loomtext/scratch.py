@@ -37,19 +37,32 @@ def materialize(df: DataFrame) -> DataFrame:
         atexit.register(release)
     _written.append((spark, path))
     # the schema is known; without it an empty table could not be read back
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete scratch tables that materialize gave and that nothing unwritten needs any more."""
+    for t in tables:
+        path = getattr(t, "_scratch_path", None)
+        for entry in [x for x in _written if x[1] == path]:
+            _written.remove(entry)
+            _delete(*entry)
 
 
 def release() -> None:
-    """Delete the scratch tables. Results that were not yet written are lost; runs at exit by itself."""
+    """Delete all scratch tables. Results that were not yet written are lost; runs at exit by itself."""
     while _written:
-        spark, path = _written.pop()
-        if path.startswith(("file:", "/")):
-            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
-            continue
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session is gone; the folder's owner cleans up
-            pass
+        _delete(*_written.pop())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if path.startswith(("file:", "/")):
+        shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+        return
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session is gone; the folder's owner cleans up
+        pass
