@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..scratch import materialize, release, shared_dir  # noqa: F401
+from ..scratch import drop, materialize, release, shared_dir  # noqa: F401
 
 #: (table, id column, text column) of the two tables most text problems speak of.
 TEXT_TABLES = (("site_documents", "id", "raw_text"), ("chunks", "id", "chunk_text"))

@@ -25,8 +25,8 @@ from . import common
 # Letters with the shape of a Latin one, by script; the two strings of a script pair up.
 SHAPES = {
     "Cyrillic": (
-        "АВСЕНІЈКМОРЅТХУаеіјорсухѕԁһԛԝӏ",
-        "ABCEHIJKMOPSTXYaeijopcyxsdhqwl",
+        "АВСЕНІЈКМОРЅТХУҮѴԌԚԜӀаеіјорсухѕѵԁһԛԝӏ",
+        "ABCEHIJKMOPSTXYYVGQWIaeijopcyxsvdhqwl",
     ),
     "Greek": (
         "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳονρϲ",

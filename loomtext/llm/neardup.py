@@ -170,7 +170,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     nodes = common.materialize(numbered(nodes).drop("tab"))
     bucketed = nodes.select("t", F.col("rec_id"), F.explode("bands").alias("bucket"))
 
-    held, checked = bucketed, None
+    held, checked, written = bucketed, None, [nodes]
     for _ in range(ROUNDS):
         centres = held.groupBy("t", "bucket").agg(F.min("rec_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("t", "bucket", "a")
         stars = common.materialize(held.join(centres, ["t", "bucket"]).where("rec_id <> a").select("t", "bucket", "a", F.col("rec_id").alias("b")))
@@ -178,6 +178,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
         if checked is not None:
             edges = edges.join(checked, ["t", "a", "b"], "left_anti")
         fresh = common.materialize(common.map_batches(_with(edges, nodes, "sketch"), _near, "t int, a long, b long, likely boolean", rows=20_000))
+        written += [stars, fresh]
         checked = fresh if checked is None else checked.unionByName(fresh)
         # what is unlike its centre draws the next star of its bucket
         held = stars.join(checked.where("NOT likely"), ["t", "a", "b"]).select("t", "bucket", F.col("b").alias("rec_id"))
@@ -186,9 +187,11 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     ties = good.select("t", F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(good.select("t", F.col("b").alias("mid"), F.col("a").alias("end")))
     paths = ties.withColumnRenamed("end", "a").join(ties.withColumnRenamed("end", "b"), ["t", "mid"]).where("a < b").select("t", "a", "b")
     edges = common.materialize(good.unionByName(paths).distinct())
+    common.drop(good, *written)
     # only the contents that edges name are shuffled to them
     named = edges.select("t", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
     bodies = common.materialize(numbered(rows.select("tab", "rec_id", "body")).drop("tab").join(named, ["t", "rec_id"], "left_semi").dropDuplicates(["t", "rec_id"]))
+    common.drop(rows)
     links = common.map_batches(_with(edges, bodies, "body"), _checked, "t int, a long, b long, sim double", rows=1000, text="body_a")
     name = F.element_at(F.lit(tabs), F.col("t")) if tabs else F.lit(None).cast("string")
     return members, links.where(F.col("sim") >= threshold).select(name.alias("tab"), "a", "b", "sim")

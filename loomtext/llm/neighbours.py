@@ -172,6 +172,7 @@ def nearest(df: DataFrame, k: int = K, min_similarity: float = MIN_SIMILARITY) -
     reps = rows.groupBy("key").agg(F.min("rec_id").alias("rep"))
     members = common.materialize(rows.select("rec_id", "key").join(reps, "key").select("rec_id", "rep").distinct())
     one = common.materialize(rows.join(members.where("rec_id = rep").select("rec_id"), "rec_id", "left_semi").dropDuplicates(["rec_id"]).select("rec_id", "vec"))
+    common.drop(rows)
     n = one.count()
     if n == 0:
         return spark.createDataFrame([], "rec_id long, rank int, other long, sim double")
@@ -182,6 +183,7 @@ def nearest(df: DataFrame, k: int = K, min_similarity: float = MIN_SIMILARITY) -
     ends = [one.select(F.col("rec_id").alias(x), F.col("vec").alias(f"vec_{x}")) for x in "ab"]
     exact = common.map_batches(pairs.join(ends[0], "a").join(ends[1], "b"), _reranked, "a long, b long, sim double", rows=20_000).where(F.col("sim") >= min_similarity)
     exact = common.materialize(exact)
+    common.drop(one)
     links = exact.unionByName(exact.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     # a class's k + 1 lowest ids are all that anybody needs of it; they are picked before the shuffle
     w = Window.partitionBy("rep").orderBy("rec_id")
