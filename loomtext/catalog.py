@@ -60,11 +60,11 @@ def topk_batched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_indexed(spark: SparkSession, d: str) -> DataFrame:
-    """As topk_batched, through the cell index; approximate."""
+    """As topk_batched, through the cell index; approximate. These vectors have no clusters, so most cells have to be looked at for a recall of 0.9."""
     rows = _t(spark, d, "embeddings")
     queries = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
     index = Q.CellIndex.build(rows, WIDTH, row_id="vec_id")
-    return index.search(queries, 5, max(1, len(index.centres) // 3), row_id="vec_id")
+    return index.search(queries, 5, max(1, len(index.centres) * 2 // 3), row_id="vec_id")
 
 
 def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

@@ -39,7 +39,7 @@ def search_chunks(documents: DataFrame, chunks: DataFrame, query: list[float], k
         rows = rows.join(docs.where(F.col("source").isin(list(sources))), "document_id")
         best = top_k(rows, query, k, ("document_id", "chunk_index"))
     else:
-        # a chunk without its document is not stored yet
+        # chunks without a document are no hits; ids alone are shuffled for that
         rows = rows.join(docs.select("document_id"), "document_id", "left_semi")
         best = top_k(rows, query, k, ("document_id", "chunk_index")).join(docs, "document_id")
     return best.orderBy(F.desc("similarity"), "document_id", "chunk_index").select("source", "url", "title", "chunk_index", "text", "similarity")

@@ -1,8 +1,8 @@
 """Document and chunk tables in a warehouse folder, loaded idempotently.
 
-Ids are hashes of what identifies a row, so that loading again gives the same ones. Both tables are partitioned by source. Chunks are
-written before their documents: a document row is what makes a load valid, chunks without one are not read and are written
-anew by the next load. One writer at a time is assumed.
+Ids are hashes of what identifies a row, so that loading again gives the same ones. Both tables are partitioned by source. A load
+writes chunks, documents and then its batch into a small table of commits; rows of other batches are not read, so what a
+broken load left is invisible and is written anew by the next one. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from .extract import clean_raw
 
 DOCUMENTS = "id long, source_name string, source_url string, title string, page_number int, lang string, doc_metadata string, raw_text string, created_at timestamp, batch string, source string"
 CHUNKS = "id long, document_id long, chunk_index int, chunk_text string, char_length int, token_count int, created_at timestamp, batch string, source string"
+COMMITS = "batch string"
 EMBEDDINGS = "chunk_id long, embedding array<float>, version string"
 
 
@@ -49,15 +50,21 @@ class Store:
 
     def drop(self) -> None:
         """Both tables, the vectors and the models."""
-        for name in ("chunks", "documents", "embeddings", "model"):
+        for name in ("commits", "chunks", "documents", "embeddings", "model"):
             _delete(self.spark, f"{self.path}/{name}")
 
+    def _committed(self, name: str, schema: str) -> DataFrame:
+        # a row a load: Spark sees its size and spares the shuffle
+        return self._read(name, schema).join(self._read("commits", COMMITS), "batch", "left_semi")
+
     def documents(self) -> DataFrame:
-        return self._read("documents", DOCUMENTS)
+        return self._committed("documents", DOCUMENTS)
 
     def chunks(self) -> DataFrame:
-        """Chunks of documents that are there, in the version that was loaded with them."""
-        return self._read("chunks", CHUNKS).join(self.documents().select(F.col("id").alias("document_id"), "batch"), ["document_id", "batch"], "left_semi")
+        return self._committed("chunks", CHUNKS)
+
+    def commit(self, batch: str) -> None:
+        self.spark.createDataFrame([(batch,)], COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
     def embeddings(self, version: str) -> DataFrame:
         return self._read("embeddings", EMBEDDINGS).where(F.col("version") == version)
@@ -132,6 +139,7 @@ def load(store: Store, raw: DataFrame, config: Config | None = None) -> dict:
         "source",
     )
     store.append("documents", docs.drop("chunks"), "source")
+    store.commit(batch)
     return stats
 
 

@@ -39,3 +39,9 @@ def test_query_and_sql(spark, small, name):
     want = sorted(repr(tuple(r[i] for i in order)) for r in cur.fetchall())
     assert sorted(cols) == sorted(df.columns)
     assert rows == want
+
+
+def test_recall_of_the_index(spark, small):
+    pairs = lambda f: {(r["query_id"], r["vec_id"]) for r in f(spark, small).collect()}
+    exact, near = pairs(catalog.topk_batched), pairs(catalog.topk_indexed)
+    assert len(exact & near) >= 0.9 * len(exact)

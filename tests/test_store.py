@@ -47,10 +47,10 @@ def test_load_twice(spark, config):
 def test_a_load_that_broke_off_is_loaded_again(spark, config):
     store = St.Store(spark, config.warehouse)
     St.load(store, raw(spark, ROWS), config)
-    St._delete(spark, f"{config.warehouse}/documents")
-    assert store.chunks().count() == 0
-    n = St.load(store, raw(spark, ROWS), config)["chunks"]
-    assert store.chunks().count() == n
+    St._delete(spark, f"{config.warehouse}/commits")
+    assert store.chunks().count() == 0 == store.documents().count()
+    got = St.load(store, raw(spark, ROWS), config)
+    assert store.chunks().count() == got["chunks"] and store.documents().count() == got["documents"] == 3
 
 
 def test_run_and_search(spark, config):
