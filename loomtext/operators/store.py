@@ -72,6 +72,16 @@ class Store:
     def append(self, name: str, df: DataFrame, by: str) -> None:
         df.write.mode("append").partitionBy(by).parquet(f"{self.path}/{name}")
 
+    def keep_version(self, version: str) -> None:
+        """Vectors and models of other versions go."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder, keep in (("embeddings", (f"version={version}",)), ("model", (version, "state"))):
+            p = hadoop(f"{self.path}/{folder}")
+            fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            for f in fs.listStatus(p) if fs.exists(p) else ():
+                if f.isDirectory() and f.getPath().getName() not in keep:
+                    fs.delete(f.getPath(), True)
+
     def has(self, source: str, source_url: str) -> bool:
         return bool(self.documents().where((F.col("source") == source) & (F.col("source_url") == source_url)).limit(1).count())
 

@@ -59,6 +59,7 @@ def run(
     if stats["documents"]:
         version = embed_missing(store, c)
         store.set_state({"backend": backend, "model_name": c.embedding.model_name, "dim": c.embedding.dim, "normalize": c.embedding.normalize, "version": version})
+        store.keep_version(version or "")
     return out
 
 

@@ -65,6 +65,7 @@ def test_run_and_search(spark, config):
     more = pipeline.run(spark, raw(spark, [("c", "u9", None, "{}", "新的一段关于心肌炎的文字。" * 20, "text", None)]), config=config)
     assert more["documents"] == 1 and St.Store(spark, config.warehouse).state()["version"] != state["version"]
     assert pipeline.search(spark, "心肌炎", 1, config=config).first()["source"] == "c"
+    assert spark.read.parquet(f"{config.warehouse}/embeddings").select("version").distinct().count() == 1
     assert pipeline.run(spark, raw(spark, ROWS[:1]), recreate=True, config=config)["documents"] == 1
     assert St.Store(spark, config.warehouse).documents().count() == 1
 
