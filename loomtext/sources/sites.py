@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from urllib.parse import quote, urljoin, urlsplit
 
 from ..config import CrawlConfig
 from ..functions.bytes import decode_body
-from ..operators.extract import ExtractSpec, clean, extract_page
+from ..operators.extract import ExtractSpec, extract_page
 from .fetch import FetchError, Fetcher
 
 
@@ -223,4 +223,4 @@ def get_sites(keys: list[str] | None = None) -> list[Site]:
     return [SITES[k] for k in keys or SITES]
 
 
-__all__ = ["SITES", "Site", "clean", "crawl", "equidistant", "get_sites", "listed", "register_site", "replace"]
+__all__ = ["SITES", "Site", "crawl", "equidistant", "get_sites", "listed", "register_site"]
