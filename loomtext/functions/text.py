@@ -106,16 +106,13 @@ def sentences(text: Column) -> Column:
 def terms(text: Column) -> Column:
     """Terms for TF-IDF: lower-case words and ideographs, and after an ideograph that another follows, the pair of them."""
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    # a word is ASCII, so anything from the first ideograph on is one
+    first = F.lit("\u3400")
+    pair = lambda a, b: F.when((a >= first) & (b >= first), F.array(a, F.concat(a, b))).otherwise(F.array(a))
     # pairs come from shifted arrays, so the words are not looked up one by one
-    following = F.concat(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), F.array_repeat(F.lit(""), F.when(F.size(words) > 0, 1).otherwise(0)))
-    ideograph = r"^[\x{3400}-\x{9fff}\x{f900}-\x{faff}]$"
-    return F.flatten(
-        F.zip_with(
-            words,
-            following,
-            lambda a, b: F.when(a.rlike(ideograph) & b.rlike(ideograph), F.array(a, F.concat(a, b))).otherwise(F.array(a)),
-        )
-    )
+    following = lambda w: F.concat(F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))), F.array_repeat(F.lit(""), F.when(F.size(w) > 0, 1).otherwise(0)))
+    # bound to a variable, so that the words are found once
+    return F.get(F.transform(F.array(words), lambda w: F.flatten(F.zip_with(w, following(w), pair))), F.lit(0))
 
 
 def nth_line(text: Column, n: int) -> Column:

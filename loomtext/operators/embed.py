@@ -28,11 +28,11 @@ OVERSAMPLE, POWER_ITERATIONS, SEED = 10, 5, 42
 
 def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
     """(term, df, tf): documents with the term, and its occurrences. One scan, one shuffle of terms added up before it."""
-    t = T.terms(F.col(text))
+    t = F.col("_terms")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     row = lambda d, n: lambda x: F.struct(x.alias("term"), d.alias("d"), n.alias("n"))
     both = F.concat(F.transform(F.array_distinct(t), row(one, none)), F.transform(t, row(none, one)))
-    return df.where(F.col(text).isNotNull()).select(F.inline(both)).groupBy("term").agg(F.sum("d").alias("df"), F.sum("n").alias("tf"))
+    return df.where(F.col(text).isNotNull()).select(T.terms(F.col(text)).alias("_terms")).select(F.inline(both)).groupBy("term").agg(F.sum("d").alias("df"), F.sum("n").alias("tf"))
 
 
 def term_weights(df: DataFrame, key: str, text: str = "text") -> DataFrame:
