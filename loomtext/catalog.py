@@ -41,7 +41,8 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _query_vector(spark: SparkSession, d: str) -> list[float]:
-    return [float(x) for x in _t(spark, d, "embeddings").where("vec_id = 0").first()["embedding"]]
+    row = _t(spark, d, "embeddings").where("vec_id = 0 AND embedding IS NOT NULL").first()
+    return [float(x) for x in row["embedding"]] if row else [0.0] * WIDTH
 
 
 def topk_single(spark: SparkSession, d: str) -> DataFrame:

@@ -33,3 +33,17 @@ def small():
     if not os.path.isdir(d):
         pytest.skip("no test data here")
     return d
+
+
+@pytest.fixture(scope="session")
+def bare(small, tmp_path_factory):
+    """Folders with the tables' schemas: one of empty tables, one of four rows in which everything is null."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    empty, nulls = tmp_path_factory.mktemp("empty"), tmp_path_factory.mktemp("nulls")
+    for f in os.listdir(small):
+        t = pq.read_table(f"{small}/{f}")
+        pq.write_table(t.slice(0, 0), empty / f)
+        pq.write_table(pa.table({x.name: pa.nulls(4, x.type) for x in t.schema}), nulls / f)
+    return str(empty), str(nulls)

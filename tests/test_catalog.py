@@ -45,3 +45,9 @@ def test_recall_of_the_index(spark, small):
     pairs = lambda f: {(r["query_id"], r["vec_id"]) for r in f(spark, small).collect()}
     exact, near = pairs(catalog.topk_batched), pairs(catalog.topk_indexed)
     assert len(exact & near) >= 0.9 * len(exact)
+
+
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
+def test_empty_and_null_tables(spark, bare, name):
+    for folder in bare:
+        catalog.queries()[name](spark, folder).collect()
