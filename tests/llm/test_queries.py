@@ -40,3 +40,10 @@ def test_query(spark, small, name):
 def test_every_problem_has_queries():
     assert {n.split("_")[0] for n in queries.queries()} == {f"p{i}" for i in range(1, 11)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_empty_and_null_tables(spark, bare, name):
+    for folder in bare:
+        rows = queries.queries()[name](spark, folder).collect()
+        assert not rows or not name.endswith("_found")
