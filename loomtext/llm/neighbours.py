@@ -3,6 +3,8 @@
 Shifted space-filling curves: the vectors are projected at random to a few dimensions, shifted, and laid along a Hilbert curve,
 several times over. Spark range-partitions each ordering; in a partition the vectors within a window of neighbouring keys are
 compared by one matrix product a block, on eight-bit copies. The windows' candidates merge, and the exact vectors rerank them.
+Windows can't rank a dense group that is larger than they are: a vector that is seen to have k neighbours or more is compared with
+all vectors, block by block. Without a least similarity every vector is; that is exact, and quadratic.
 Vectors of equal content are folded to one before and unfolded after, k neighbours each, so a hot group stays linear.
 """
 
@@ -29,6 +31,12 @@ SLACK = 0.01
 SPARE = 3
 #: Rows of a range partition.
 PARTITION_ROWS = 60_000
+#: Vectors of a block in the exact comparison, and its rows that are multiplied at a time.
+BLOCK, STRIP = 4096, 512
+#: Blocks that a task holds of the side that is passed again and again.
+HELD = 64
+#: What single precision may cost a similarity.
+ROUNDING = 1e-6
 SEED = 20
 
 
@@ -155,17 +163,134 @@ def _windows(floor: float, most: int):
 
 
 def _reranked(part: dict) -> dict:
-    a, b = (np.frombuffer(b"".join(part[x]), np.float32).reshape(-1, WIDTH).astype(float) for x in ("vec_a", "vec_b"))
-    sim = (a * b).sum(1) / np.sqrt((a * a).sum(1) * (b * b).sum(1))
-    return {"a": part["a"], "b": part["b"], "sim": sim.tolist()}
+    a, b = (np.frombuffer(b"".join(part[x]), np.float32).reshape(-1, WIDTH) for x in ("vec_a", "vec_b"))
+    return {"a": part["a"], "b": part["b"], "sim": _similarities(a, b).tolist()}
 
 
-def nearest(df: DataFrame, k: int = K, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+def _similarities(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    a, b = a.astype(float), b.astype(float)
+    return (a * b).sum(1) / np.sqrt((a * a).sum(1) * (b * b).sum(1))
+
+
+def _blocks(batches):
+    """Rows to blocks of BLOCK rows, the last one shorter."""
+    ids, vec = [], []
+
+    def block(n: int):
+        out = pa.RecordBatch.from_arrays([pa.array([np.array(ids[:n], np.int64).tobytes()], pa.binary()), pa.array([b"".join(vec[:n])], pa.binary())], ["ids", "vecs"])
+        del ids[:n], vec[:n]
+        return out
+
+    for batch in batches:
+        ids += batch.column("rec_id").to_pylist()
+        vec += batch.column("vec").to_pylist()
+        while len(ids) >= BLOCK:
+            yield block(BLOCK)
+    if ids:
+        yield block(len(ids))
+
+
+def _best_of_blocks(k: int, floor: float):
+    """Of pairs of blocks: the k best in the second ones for each row of a first one, as far as its pairs come one after another."""
+
+    def merge(rows, ids, sims):
+        """The k best of each row, ordered by row."""
+        order = np.lexsort((ids, -sims, rows))
+        rows, ids, sims = rows[order], ids[order], sims[order]
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else np.zeros(0, int)
+        rank = np.arange(len(rows)) - np.repeat(first, np.diff(np.r_[first, len(rows)]))
+        return rows[rank < k], ids[rank < k], sims[rank < k]
+
+    def strip(q, q_ids, v, v_ids, held):
+        rows, ids, sims = held
+        # the k-th best so far, where there are k; else the block's own, the row itself left aside
+        least = np.full(len(q), floor)
+        full = np.bincount(rows, minlength=len(q)) == k
+        np.minimum.at(kth := np.full(len(q), np.inf), rows, sims)
+        least[full] = np.maximum(least[full], kth[full])
+        s = q @ v.T
+        new = np.flatnonzero(~full)
+        if len(new) and len(v) > k + 1:
+            least[new] = np.maximum(least[new], np.partition(s[new], -(k + 1), axis=1)[:, -(k + 1)])
+        r, c = np.nonzero(s >= (least - ROUNDING).astype(np.float32)[:, None])
+        other = q_ids[r] != v_ids[c]
+        r, c = r[other], c[other]
+        for at in range(0, len(r), 65_536):
+            a, b = r[at : at + 65_536], c[at : at + 65_536]
+            exact = _similarities(q[a], v[b])
+            keep = exact >= floor
+            rows, ids, sims = merge(np.concatenate((rows, a[keep])), np.concatenate((ids, v_ids[b[keep]])), np.concatenate((sims, exact[keep])))
+        return rows, ids, sims
+
+    def run(batches):
+        whose, q, q_ids, held = None, None, None, []
+
+        def out():
+            for i, (rows, ids, sims) in enumerate(held):
+                if len(rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows + i * STRIP]), pa.array(ids), pa.array(sims)], ["a", "b", "sim"])
+
+        for batch in batches:
+            for n in range(batch.num_rows):
+                ids_a, vecs_a, ids_b, vecs_b = (batch.column(x)[n].as_buffer() for x in ("ids_a", "vecs_a", "ids_b", "vecs_b"))
+                ids = np.frombuffer(ids_a, np.int64)
+                if whose != ids[0]:
+                    yield from out()
+                    whose, q_ids, q = ids[0], ids.copy(), np.frombuffer(vecs_a, np.float32).reshape(-1, WIDTH).copy()
+                    held = [(np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0)) for _ in range(0, len(q), STRIP)]
+                v, v_ids = np.frombuffer(vecs_b, np.float32).reshape(-1, WIDTH), np.frombuffer(ids_b, np.int64)
+                for i, at in enumerate(range(0, len(q), STRIP)):
+                    held[i] = strip(q[at : at + STRIP], q_ids[at : at + STRIP], v, v_ids, held[i])
+        yield from out()
+
+    return run
+
+
+def _compared(asked: DataFrame, one: DataFrame, k: int, floor: float) -> DataFrame:
+    """(a, b, sim): the k rows of one that are most similar to each row of asked, and of at least floor. Exact; every row meets every row."""
+    spark = one.sparkSession
+    packed = []
+    for x, df in (("a", asked), ("b", one)):
+        blocks = -(-df.count() // BLOCK)
+        parts = max(1, min(blocks, common.big_partitions(spark)) if x == "a" else -(-blocks // HELD))
+        made = common.materialize(df.select("rec_id", "vec").repartition(max(1, min(blocks, common.big_partitions(spark)))).mapInArrow(_blocks, "ids binary, vecs binary"))
+        packed.append((made, made.select(F.col("ids").alias(f"ids_{x}"), F.col("vecs").alias(f"vecs_{x}")).repartition(parts)))
+    (made_a, a), (made_b, b) = packed
+    # a row is two blocks: batches have to be short
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4")
+    try:
+        pairs = a.crossJoin(b.hint("shuffle_replicate_nl")).mapInArrow(_best_of_blocks(k, floor), "a long, b long, sim double")
+        best = common.materialize(pairs)
+    finally:
+        spark.conf.set(name, before)
+    common.drop(made_a, made_b)
+    return best
+
+
+def _windowed(one: DataFrame, n: int, k: int, floor: float) -> DataFrame:
+    """(a, b, sim): the pairs a < b of at least floor that share a window."""
+    parts = max(common.big_partitions(one.sparkSession), -(-n * ORDERINGS // PARTITION_ROWS))
+    # rows of one position lie in another order in each ordering
+    laid = one.mapInArrow(_orderings, "o int, pos long, rec_id long, small binary").withColumn("tie", F.xxhash64("o", "rec_id"))
+    laid = laid.repartitionByRange(parts, "o", "pos", "tie").sortWithinPartitions("o", "pos", "tie").drop("tie")
+    found = laid.mapInArrow(_windows(floor - SLACK, k + SPARE), "a long, b long")
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = [one.select(F.col("rec_id").alias(x), F.col("vec").alias(f"vec_{x}")) for x in "ab"]
+    exact = common.map_batches(pairs.join(ends[0], "a").join(ends[1], "b"), _reranked, "a long, b long, sim double", rows=20_000).where(F.col("sim") >= floor)
+    return common.materialize(exact)
+
+
+def nearest(df: DataFrame, k: int = K, min_similarity: float | None = MIN_SIMILARITY) -> DataFrame:
     """(rec_id, rank, other, sim): up to k most similar other rows of df's (rec_id, embedding), of at least min_similarity.
 
+    With min_similarity None the k most similar rows, whatever their similarity: exact, each row meets each row. Else rows that
+    windows show k neighbours of are exact, and of the others what no window holds is missed (recall in the README).
+
     Short embeddings are padded with zeros, long ones cut; null, empty, all-zero and non-finite ones neither have nor are neighbours.
     Ties go to the lower id; rows of one content are each other's neighbours at 1.0, so of a large group every row names the
-    lowest ids. A repeated id counts once for each content. Approximate: what no window holds is missed (recall in the README).
+    lowest ids. A repeated id counts once for each content.
     """
     spark = df.sparkSession
     rows = common.materialize(common.map_batches(df.select("rec_id", "embedding"), _units, "rec_id long, key binary, vec binary", rows=10_000))
@@ -176,15 +301,17 @@ def nearest(df: DataFrame, k: int = K, min_similarity: float = MIN_SIMILARITY) -
     n = one.count()
     if n == 0:
         return spark.createDataFrame([], "rec_id long, rank int, other long, sim double")
-    parts = max(common.big_partitions(spark), -(-n * ORDERINGS // PARTITION_ROWS))
-    laid = one.mapInArrow(_orderings, "o int, pos long, rec_id long, small binary").repartitionByRange(parts, "o", "pos").sortWithinPartitions("o", "pos", "rec_id")
-    found = laid.mapInArrow(_windows(min_similarity - SLACK, k + SPARE), "a long, b long")
-    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    ends = [one.select(F.col("rec_id").alias(x), F.col("vec").alias(f"vec_{x}")) for x in "ab"]
-    exact = common.map_batches(pairs.join(ends[0], "a").join(ends[1], "b"), _reranked, "a long, b long, sim double", rows=20_000).where(F.col("sim") >= min_similarity)
-    exact = common.materialize(exact)
+    both = lambda d: d.unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    if min_similarity is None:
+        links = _compared(one, one, k, -2.0)
+    else:
+        links = both(_windowed(one, n, k, min_similarity))
+        crowded = links.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= k).select(F.col("a").alias("rec_id"))
+        asked = common.materialize(one.join(crowded, "rec_id", "left_semi"))
+        if asked.count():
+            links = links.unionByName(both(_compared(asked, one, k, min_similarity))).groupBy("a", "b").agg(F.max("sim").alias("sim"))
+        common.drop(asked)
     common.drop(one)
-    links = exact.unionByName(exact.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
     # a class's k + 1 lowest ids are all that anybody needs of it; they are picked before the shuffle
     w = Window.partitionBy("rep").orderBy("rec_id")
     lowest = members.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1).select("rep", F.col("rec_id").alias("other"))

@@ -170,6 +170,25 @@ def test_recall_of_the_curves(spark):
     assert len(want) > 2000 and len(got & want) >= 0.95 * len(want) and not got - want
 
 
+def test_dense_group_larger_than_a_window(spark):
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=64)
+    x = np.array([K.unit(list(v)) for v in np.concatenate([centre + rng.normal(scale=0.2, size=(4000, 64)), rng.normal(size=(1000, 64))])])
+    got = {(r["rec_id"], r["other"]) for r in K.nearest(vectors(spark, x)).collect()}
+    assert got == brute_nearest(x.astype(float), 5, 0.9) and len(got) == 20_000
+
+
+def test_neighbours_without_a_least_similarity(spark):
+    x = np.array([K.unit(list(v)) for v in np.random.default_rng(4).normal(size=(5000, 64))])
+    got = {}
+    for r in K.nearest(vectors(spark, x), min_similarity=None).collect():
+        got.setdefault(r["rec_id"], []).append((r["rank"], r["other"]))
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    assert {i: [o for _, o in sorted(v)] for i, v in got.items()} == {i: np.argsort(-s[i])[:5].tolist() for i in range(5000)}
+
+
 def test_hilbert_is_a_walk_through_all_cells():
     for d, bits in ((2, 3), (3, 2), (4, 2)):
         cells = np.array(list(itertools.product(range(1 << bits), repeat=d)))
