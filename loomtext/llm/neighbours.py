@@ -329,8 +329,8 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(rec_id, rank, other, sim) for every usable embedding of chunks."""
-    return nearest(_chunks(spark, sf_dir))
+    """(rec_id, rank, other, sim): the five most similar for every usable embedding of chunks, exact."""
+    return nearest(_chunks(spark, sf_dir), min_similarity=None)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

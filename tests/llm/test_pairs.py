@@ -189,6 +189,12 @@ def test_neighbours_without_a_least_similarity(spark):
     assert {i: [o for _, o in sorted(v)] for i, v in got.items()} == {i: np.argsort(-s[i])[:5].tolist() for i in range(5000)}
 
 
+def test_every_usable_embedding_has_neighbours(spark, small):
+    per = K.p5_neighbours(spark, small).groupBy("rec_id").count().collect()
+    usable = K._chunks(spark, small).collect()
+    assert {r["rec_id"] for r in per} == {r["rec_id"] for r in usable if K.unit(r["embedding"]) is not None} and {r["count"] for r in per} == {5}
+
+
 def test_hilbert_is_a_walk_through_all_cells():
     for d, bits in ((2, 3), (3, 2), (4, 2)):
         cells = np.array(list(itertools.product(range(1 << bits), repeat=d)))
