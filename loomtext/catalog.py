@@ -143,6 +143,11 @@ def strip_boilerplate(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "site_documents").where("raw_text IS NOT NULL").select("id", T.strip_boilerplate(F.col("raw_text"), 500, unescape=False).alias("text"))
 
 
+def strip_boilerplate_whole(spark: SparkSession, d: str) -> DataFrame:
+    """As strip_boilerplate, texts of any length to their end."""
+    return _t(spark, d, "site_documents").where("raw_text IS NOT NULL").select("id", T.strip_boilerplate(F.col("raw_text"), None, unescape=False).alias("text"))
+
+
 def paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "documents").where("text IS NOT NULL").select("doc_id", F.size(T.paragraphs(F.col("text"))).cast("long").alias("n"), F.array_join(T.paragraphs(F.col("text")), "|").alias("joined"))
 
@@ -182,10 +187,14 @@ _STRIP = f"regexp_replace(regexp_replace(%s, '^{_S}+', ''), '{_S}+$', '')"
 _BOIL = ("(?is)(cookie|privacy|terms of use|all rights reserved|©|©️)[^\\n]{0,120}", "(?i)(本网站|版权所有|保留所有权利|使用条款|隐私政策|免责声明)[^\\n]*", "(?i)(微信|公众号|扫码|关注我们|订阅我们|下载应用)[^\\n]*")
 
 
-def _sql_boil(x: str) -> str:
+def _sql_boil_whole(x: str) -> str:
     for p in _BOIL:
         x = f"regexp_replace({x}, '{p}', ' ', 'g')"
-    return f"left({_sql_clean(x)}, 500)"
+    return _sql_clean(x)
+
+
+def _sql_boil(x: str) -> str:
+    return f"left({_sql_boil_whole(x)}, 500)"
 
 
 # ------------------------------------------------------------------ terms
@@ -334,7 +343,7 @@ def ingest_idempotent(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES = (
     topk_single, topk_filtered, topk_batched, topk_indexed, search_chunks, search_chunks_filtered,
     l2_norm, l2_normalize, fit_width,
-    clean_text, dedupe_lines, clean_plain, strip_boilerplate, paragraphs, detect_lang, lang_counts, token_count, sentence_split, min_doc_filter,
+    clean_text, dedupe_lines, clean_plain, strip_boilerplate, strip_boilerplate_whole, paragraphs, detect_lang, lang_counts, token_count, sentence_split, min_doc_filter,
     tfidf_terms, doc_freq, tfidf_weights,
     equidistant_sample, source_cap, new_documents, one_per_url, merge_pages, link_extract, url_parts, metadata_chunks, chunk_orphans, chunk_stats,
     html_to_text, extract_pages, chunk_documents, chunk_totals, lsa_embed, lsa_search, ingest_stats, ingest_idempotent,
@@ -357,6 +366,7 @@ _SQL = {
     "clean_text": f"SELECT doc_id, {_sql_clean('text')} AS text FROM documents",
     "dedupe_lines": "SELECT id, array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: i = 1 OR p[i] <> p[i - 1]), lambda i: p[i]), chr(10)) AS text FROM (SELECT id, string_split(raw_text, chr(10)) AS p FROM site_documents WHERE raw_text IS NOT NULL)",
     "strip_boilerplate": f"SELECT id, {_sql_boil('raw_text')} AS text FROM site_documents WHERE raw_text IS NOT NULL",
+    "strip_boilerplate_whole": f"SELECT id, {_sql_boil_whole('raw_text')} AS text FROM site_documents WHERE raw_text IS NOT NULL",
     "paragraphs": rf"""SELECT doc_id, len(p) AS n, array_to_string(p, '|') AS joined FROM (
   SELECT doc_id, list_filter(list_transform(string_split_regex(text, '\n{_S}*\n'), lambda x: {_STRIP % 'x'}), lambda x: x <> '') AS p FROM documents WHERE text IS NOT NULL)""",
     "detect_lang": f"SELECT doc_id, {_sql_lang('text')} AS lang FROM documents",

@@ -41,6 +41,11 @@ def test_query_and_sql(spark, small, name):
     assert rows == want
 
 
+def test_boilerplate_is_stripped_to_the_end(spark, tmp_path):
+    spark.createDataFrame([(1, "文" * 1200 + "\n版权所有 某站\n尾")], "id long, raw_text string").write.parquet(f"{tmp_path}/site_documents.parquet")
+    assert catalog.queries()["strip_boilerplate_whole"](spark, str(tmp_path)).first()["text"] == "文" * 1200 + "\n尾"
+
+
 def test_recall_of_the_index(spark, small):
     pairs = lambda f: {(r["query_id"], r["vec_id"]) for r in f(spark, small).collect()}
     exact, near = pairs(catalog.topk_batched), pairs(catalog.topk_indexed)
