@@ -298,7 +298,7 @@ def chunk_totals(spark: SparkSession, d: str) -> DataFrame:
 
 def _lsa(spark: SparkSession, d: str) -> tuple[E.LsaModel, DataFrame]:
     rows = _t(spark, d, "chunks").where("chunk_text IS NOT NULL").select("id", "document_id", "chunk_index", "chunk_text")
-    return E.fit_lsa(rows, "chunk_text", EmbeddingConfig(dim=64, components=32, max_features=20_000)), rows
+    return E.fit_lsa(rows, "chunk_text", EmbeddingConfig()), rows
 
 
 def lsa_embed(spark: SparkSession, d: str) -> DataFrame:

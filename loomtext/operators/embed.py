@@ -49,6 +49,12 @@ def term_weights(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return w.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
+def _runs(d: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, from, to) of the runs of equal values."""
+    cuts = [0, *(np.flatnonzero(np.diff(d)) + 1).tolist(), len(d)]
+    return ((int(d[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:]) if a < b)
+
+
 @dataclass
 class LsaModel:
     """Vocabulary (term to column), idf by column, components (features x k); `version` names the space its vectors live in."""
@@ -84,10 +90,10 @@ class LsaModel:
         k = self.components.shape[1]
         out = np.zeros((len(lists), self.dim), np.float32)
         if len(d):
-            got = np.zeros((len(lists), k))
-            np.add.at(got, d, w[:, None] * self.components[c])
             m = min(k, self.dim)
-            out[:, :m] = got[:, :m]
+            # document by document: all rows of components that a batch needs at once are too much
+            for i, a, b in _runs(d):
+                out[i, :m] = (w[a:b] @ self.components[c[a:b]])[:m]
         if self.normalize:
             n = np.linalg.norm(out, axis=1, keepdims=True)
             n[n == 0] = 1.0
@@ -136,7 +142,7 @@ def fit_lsa(df: DataFrame, text: str = "text", config: EmbeddingConfig | None =
     dfs = vocab.column("df").to_numpy()[order] if terms else np.zeros(0)
     idf = np.log((1 + n) / (1 + dfs)) + 1
     k = max(1, min(c.components or c.dim, n - 1, len(terms) - 1))
-    model = LsaModel({terms[i]: j for j, i in enumerate(order)}, idf, np.zeros((len(terms), k)), c.dim, c.normalize, f"lsa-{int(time.time() * 1000):x}")
+    model = LsaModel({terms[i]: j for j, i in enumerate(order)}, idf, np.zeros((0, k)), c.dim, c.normalize, f"lsa-{int(time.time() * 1000):x}")
     if not terms:
         return model
     m = len(terms)
@@ -166,9 +172,9 @@ def _back(docs: DataFrame, model: LsaModel, q: np.ndarray) -> np.ndarray:
         for batch in batches:
             d, c, w = model.rows(batch.column("terms").to_pylist())
             if len(d):
-                z = np.zeros((batch.num_rows, width))
-                np.add.at(z, d, w[:, None] * q[c])
-                np.add.at(total, c, w[:, None] * z[d])
+                # a document names a term once
+                for _, a, b in _runs(d):
+                    total[c[a:b]] += np.outer(w[a:b], w[a:b] @ q[c[a:b]])
                 seen[c] = True
         at = np.flatnonzero(seen)
         for a in range(0, len(at), 4096):

@@ -4,6 +4,7 @@ import pathlib
 import pytest
 
 from loomtext import catalog
+from loomtext.operators import embed as E
 
 ROOT = pathlib.Path(__file__).parent.parent
 
@@ -46,6 +47,13 @@ def test_boilerplate_is_stripped_to_the_end(spark, tmp_path):
     assert catalog.queries()["strip_boilerplate_whole"](spark, str(tmp_path)).first()["text"] == "文" * 1200 + "\n尾"
 
 
+def test_lsa_is_fitted_in_full(spark, small):
+    model, rows = catalog._lsa(spark, small)
+    terms = E.document_frequencies(rows, "chunk_text").count()
+    assert len(model.vocabulary) == min(200_000, terms) and model.components.shape[1] == min(1024, rows.count() - 1, terms - 1)
+    assert len(catalog.lsa_embed(spark, small).first()["embedding"]) == 1024
+
+
 def test_recall_of_the_index(spark, small):
     pairs = lambda f: {(r["query_id"], r["vec_id"]) for r in f(spark, small).collect()}
     exact, near = pairs(catalog.topk_batched), pairs(catalog.topk_indexed)
