@@ -128,6 +128,221 @@ coming soon
 under construction
 abcdefghijklmnopqrstuvwx
 [object object]
+nginx
+openresty
+apache/
+httpd
+sqlstate[
+秒后自动返回
+upstream error
+upstream connect error
+no healthy upstream
+try again later
+please try again
+something went wrong
+an error occurred
+an unexpected error
+the server encountered
+temporarily unavailable
+down for maintenance
+under maintenance
+we'll be back soon
+we will be back soon
+session has timed out
+session has expired
+session timed out
+session expired
+please sign in again
+please log in again
+log in to continue
+sign in to continue
+sign in to view
+create an account to continue
+request timed out
+request timeout
+method not allowed
+bad request
+unauthorized
+page has moved
+page no longer exists
+page does not exist
+page could not be found
+page can't be found
+page can’t be found
+nothing was found
+file not found
+no results found
+dns_probe_finished_nxdomain
+err_connection_refused
+err_connection_reset
+connection refused
+connection timed out
+your connection was interrupted
+unable to connect
+too many redirects
+just a moment
+checking if the site connection is secure
+complete the captcha
+i'm not a robot
+unusual traffic
+please allow cookies
+please accept cookies
+your browser does not support
+your browser is out of date
+please upgrade your browser
+please update your browser
+outdated browser
+requires javascript
+javascript is required
+without javascript
+content is loading
+please stand by
+this page is intentionally left blank
+this article is a stub
+insert text here
+add your text here
+enter your text here
+your text here
+replace this text
+dummy text
+to be announced
+erreur serveur
+erreur interne
+service indisponible
+accès refusé
+accès interdit
+session expirée
+votre session a expiré
+réessayez plus tard
+veuillez réessayer
+veuillez patienter
+activez javascript
+javascript est désactivé
+page non trouvée
+cette page n'existe pas
+cette page n’existe pas
+votre navigateur
+en construction
+texte de remplacement
+seite konnte nicht gefunden werden
+seite existiert nicht
+interner serverfehler
+dienst nicht verfügbar
+zugriff verweigert
+sitzung ist abgelaufen
+bitte versuchen sie es später
+bitte warten
+javascript ist deaktiviert
+javascript aktivieren
+ihr browser
+blindtext
+im aufbau
+error interno
+servicio no disponible
+acceso denegado
+acceso prohibido
+la sesión ha caducado
+su sesión ha expirado
+inténtelo de nuevo
+vuelva a intentarlo
+espere por favor
+por favor espere
+javascript está desactivado
+habilite javascript
+habilitar javascript
+la página no existe
+no se ha encontrado la página
+su navegador
+en construcción
+pagina non trovata
+pagina non esiste
+errore interno
+errore del server
+servizio non disponibile
+accesso negato
+sessione scaduta
+riprova più tardi
+attendere prego
+abilita javascript
+abilitare javascript
+caricamento in corso
+testo segnaposto
+pagina in costruzione
+página não encontrada
+página não existe
+erro interno
+erro no servidor
+serviço indisponível
+acesso negado
+sessão expirou
+sessão expirada
+tente novamente
+aguarde
+ative o javascript
+habilite o javascript
+carregando
+texto de exemplo
+pagina niet gevonden
+interne serverfout
+toegang geweigerd
+sessie is verlopen
+probeer het later opnieuw
+een ogenblik geduld
+schakel javascript in
+aan het laden
+strona nie została znaleziona
+nie znaleziono strony
+błąd serwera
+odmowa dostępu
+sesja wygasła
+spróbuj ponownie
+proszę czekać
+włącz javascript
+sidan kunde inte hittas
+sidan hittades inte
+sayfa bulunamadı
+sunucu hatası
+erişim engellendi
+lütfen bekleyin
+страница не найдена
+ошибка сервера
+внутренняя ошибка
+доступ запрещен
+доступ запрещён
+сессия истекла
+попробуйте позже
+пожалуйста, подождите
+включите javascript
+идёт загрузка
+идет загрузка
+сторінку не знайдено
+ページが見つかりません
+お探しのページ
+サーバーエラー
+アクセスが拒否
+セッションの有効期限
+しばらくしてから
+お待ちください
+javascriptを有効
+読み込み中
+ログインしてください
+페이지를 찾을 수 없습니다
+서버 오류
+접근이 거부
+세션이 만료
+잠시만 기다려
+자바스크립트를 활성화
+로딩 중
+找不到網頁
+頁面不存在
+伺服器錯誤
+拒絕存取
+請稍候
+請啟用 javascript
+請先登入
+الصفحة غير موجودة
+يرجى تفعيل javascript
+الرجاء الانتظار
 """
 # Words of which menus and footers consist.
 MENU = """
@@ -245,7 +460,7 @@ PLACEHOLDER = re.compile(
     | （此处(?:填写|插入|输入)[^）\n]{0,20}） | 【[^】\n]{1,12}】待[填补定]""",
     re.VERBOSE,
 )
-# Whole lines of filler, error reports and footers.
+# The build of whole lines of filler and of error reports; what they say is the automaton's.
 _FILLER_LINE = re.compile(
     r"""(?ix) (?:(?:undefined|nan|null|none|\[object\ object\]|n/a|tbd)[\s|,;·]*)+
     | (?:第|段落|section|item|paragraph|chapter)\s*\d+\s*[:：]?\s*(?:\.\.\.|…|xxx|\(empty\))?
@@ -278,24 +493,26 @@ def _words(block: str) -> list[str]:
     return [x for x in block.replace("\n", " ").split(" ") if x]
 
 
-@lru_cache(1)
-def automaton():
-    """Phrases (value 1) and menu words (value 2) in one automaton."""
+def _automaton(words) -> object:
     import ahocorasick
 
     a = ahocorasick.Automaton()
-    # phrases of two words are written apart in the block, and glued here
-    glued = PHRASES.replace("请启用 javascript", "请启用 javascript").replace("未启用 javascript", "未启用 javascript").replace("请允许 cookie", "请允许 cookie")
-    for p in [*(x.replace(" ", " ") for x in _words(glued)), *_lines(PHRASE_LINES)]:
-        a.add_word(p, (1, len(p)))
-    for p in [*_words(MENU), *_lines(MENU_LINES)]:
-        for form in {p, p.replace(" ", "")}:
-            if form not in a:
-                a.add_word(form, (2, len(form)))
+    for w in words:
+        a.add_word(w, len(w))
     a.make_automaton()
     return a
 
 
+@lru_cache(1)
+def _phrases():
+    return _automaton([*_words(PHRASES), *_lines(PHRASE_LINES)])
+
+
+@lru_cache(1)
+def _menus():
+    return _automaton({form for p in _menu_items() for form in (p, p.replace(" ", ""))} - {*_words(PHRASES), *_lines(PHRASE_LINES)})
+
+
 @lru_cache(1)
 def _menu_items() -> frozenset:
     return frozenset([*_words(MENU), *_lines(MENU_LINES)])
@@ -320,9 +537,9 @@ def _filler(line: str) -> bool:
     return False
 
 
-def _covered(line: str, wanted: int) -> int:
-    """Characters of the line that matches of one kind cover."""
-    spans = [(end - n + 1, end + 1) for end, (kind, n) in automaton().iter(line) if kind == wanted]
+def _covered(line: str, automaton) -> int:
+    """Characters of the line that matches cover."""
+    spans = [(end - n + 1, end + 1) for end, n in automaton.iter(line)]
     spans.sort()
     total, upto = 0, 0
     for a, b in spans:
@@ -337,9 +554,9 @@ def _is_menu(line: str) -> bool:
     known = sum(x in _menu_items() for x in items)
     if not known:
         size = len(_SEPARATORS.sub("", line))
-        return size > 0 and _covered(line.replace(" ", ""), 2) >= 0.7 * size
+        return size > 0 and _covered(line.replace(" ", ""), _menus()) >= 0.7 * size
     # a breadcrumb ends in a title; a menu may hold an item or two that aren't in the list
-    return known >= len(items) / 2 or _covered(line, 2) >= 0.7 * len(_SEPARATORS.sub("", line))
+    return known >= len(items) / 2 or _covered(line, _menus()) >= 0.7 * len(_SEPARATORS.sub("", line))
 
 
 def judge(text: str | None) -> tuple[int, float]:
@@ -347,16 +564,17 @@ def judge(text: str | None) -> tuple[int, float]:
     if not text or not text.strip():
         return 0, 0.0
     n = sum(1 for _ in PLACEHOLDER.finditer(text))
-    residue = content = 0
     low = _DIGITS.sub("0", text.lower())
-    # most texts hold no phrase and no filler line at all
-    for line in low.split("\n"):
-        line = line.strip()
-        if not line:
-            continue
-        if _filler(line):
+    lines = [x for line in low.split("\n") if (x := line.strip())]
+    filler = [_filler(x) for x in lines]
+    # without a phrase and a filler line nothing is covered, whatever is menu or footer
+    if not any(filler) and next(_phrases().iter(low), None) is None:
+        return n, 0.0
+    residue = content = 0
+    for line, fills in zip(lines, filler):
+        if fills:
             residue += len(line)
-        elif (c := _covered(line, 1)) and c >= COVERAGE * (size := len(_SEPARATORS.sub("", line))) / 2:
+        elif (c := _covered(line, _phrases())) and c >= COVERAGE * (size := len(_SEPARATORS.sub("", line))) / 2:
             residue += max(c, min(size, 2 * c))
             content += max(0, size - 2 * c)
         elif _is_menu(line) or _FOOTER_LINE.fullmatch(line):
@@ -364,8 +582,6 @@ def judge(text: str | None) -> tuple[int, float]:
         else:
             residue += c
             content += len(line) - c
-            if content > 400 + 2 * residue and content > len(low) * (1 - COVERAGE):
-                return n, residue / (residue + content)
     return n, residue / (residue + content) if residue else 0.0
 
 

@@ -304,7 +304,7 @@ def test_pack(spark):
 
 @pytest.mark.parametrize(
     "text",
-    ["题目\n" + ZH + "{{疾病名}}" + ZH, "a ${title} b", "[在此处插入作者]", "x %s y", "一 {0} 二", "____年__月__日", "<%= date %>", "[TODO: x]", "#日期#", "TBD_CITY", "@@A@@", "$BODY$", "404 Not Found", "Please enable JavaScript to view this page.", "首页 | 登录 | 注册\n抱歉，您访问的页面不存在（404）\n© 2020 某站", "Loading…\nLoading…", "此处为占位文字。此处为占位文字。", "undefined\nundefined\nundefined", "Lorem ipsum dolor sit amet, consectetur elit.", "asdf jkl; qwer asdf"],
+    ["题目\n" + ZH + "{{疾病名}}" + ZH, "a ${title} b", "[在此处插入作者]", "x %s y", "一 {0} 二", "____年__月__日", "<%= date %>", "[TODO: x]", "#日期#", "TBD_CITY", "@@A@@", "$BODY$", "404 Not Found", "Please enable JavaScript to view this page.", "首页 | 登录 | 注册\n抱歉，您访问的页面不存在（404）\n© 2020 某站", "Loading…\nLoading…", "此处为占位文字。此处为占位文字。", "undefined\nundefined\nundefined", "Lorem ipsum dolor sit amet, consectetur elit.", "asdf jkl; qwer asdf", "502 upstream error. Try again later.", "Your session has timed out. Please sign in again.", "Pagina non trovata", "Страница не найдена", "Página não encontrada. Tente novamente."],
 )
 def test_residue(text):
     assert R.is_residue(text)
@@ -318,6 +318,14 @@ def test_no_residue(text):
     assert not R.is_residue(text)
 
 
+def test_coverage_does_not_depend_on_the_order_of_lines():
+    lines = ["Please enable JavaScript to view this page."] * 12 + [ZH] * 30
+    for t in ("\n".join(lines), "\n".join(lines[::-1])):
+        n, share = R.judge(t)
+        assert n == 0 and share == R.judge("\n".join(lines))[1] > 0.2
+        assert R.is_residue(t, 0.2) and not R.is_residue(t, 0.9)
+
+
 def test_residue_rows(spark, tmp_path):
     rows = [(1, "{{x}}"), (2, ZH), (3, None), (4, ""), (5, ZH * 5000 + "${a}"), (2, ZH)]
     spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, coverage double").write.parquet(f"{tmp_path}/documents.parquet")
