@@ -139,8 +139,11 @@ def cuts(cost: np.ndarray, limit: int = LIMIT, overlap: int = OVERLAP) -> list[t
 def split_text(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int, int]]:
     """(start, end, tokens, tokens shared with the predecessor) of each piece, in characters; spaces go with what they follow.
 
-    A null text has no pieces, one within the limit (an empty one too) is one piece.
+    A null text has no pieces, one within the limit (an empty one too) is one piece. An overlap that is negative or leaves no room
+    for anything new is refused.
     """
+    if not 0 <= overlap < limit:
+        raise ValueError(f"an overlap of {overlap} does not go with pieces of {limit}")
     if text is None:
         return []
     if len(text) <= limit:
@@ -149,8 +152,7 @@ def split_text(text: str | None, limit: int = LIMIT, overlap: int = OVERLAP) ->
     starts = token_starts(codes)
     if len(starts) <= limit:
         return [(0, len(text), len(starts), 0)]
-    # an overlap of half the limit or more would leave little room for anything new
-    spans = cuts(boundaries(codes, starts), limit, min(overlap, limit // 2))
+    spans = cuts(boundaries(codes, starts), limit, overlap)
     where = np.append(starts, len(text))
     where[0] = 0
     out, end = [], 0
@@ -164,8 +166,10 @@ def split_oversized(df: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -
     """(tab, rec_id, piece, start, end, n_tokens, n_shared, text) for df's (tab, rec_id, text): all pieces of all texts.
 
     Pieces are numbered from 0; start and end are character positions. Null texts have no rows, empty ones one empty piece;
-    repeated rows are cut alike, each on its own.
+    repeated rows are cut alike, each on its own. An overlap that is negative or not below the limit raises ValueError.
     """
+    if not 0 <= overlap < limit:
+        raise ValueError(f"an overlap of {overlap} does not go with pieces of {limit}")
 
     def cut(part: dict) -> dict:
         out: dict[str, list] = {k: [] for k in ("tab", "rec_id", "piece", "start", "end", "n_tokens", "n_shared", "text")}

@@ -203,7 +203,7 @@ def test_pieces_are_a_round_trip():
     texts = ["中" * 3000, "a " * 2000, "x" * 9000, "", "短", "句子。" * 800, "第一行\n" * 900]
     texts += ["".join(rng.choice("ab中。.,， \n；") for _ in range(4000)) for _ in range(20)]
     for t in texts:
-        for limit, overlap in ((512, 100), (50, 10), (50, 0), (20, 20)):
+        for limit, overlap in ((512, 100), (50, 10), (50, 0), (20, 19)):
             at = 0
             for k, (a, b, n, shared) in enumerate(S.split_text(t, limit, overlap)):
                 assert a <= at and n <= limit and shared <= overlap and n == len(TOK.findall(t[a:b]))
@@ -213,6 +213,19 @@ def test_pieces_are_a_round_trip():
     assert S.split_text(None) == []
 
 
+def test_overlap_is_taken_as_given():
+    t = "".join(f"句{i}。" for i in range(900))
+    for limit, overlap in ((50, 40), (50, 49), (30, 29)):
+        at = 0
+        for a, b, n, shared in S.split_text(t, limit, overlap):
+            assert a <= at and n <= limit and shared <= overlap and shared == len(TOK.findall(t[a:at])) and b > at
+            at = b
+        assert at == len(t)
+    for limit, overlap in ((20, 20), (20, 30), (20, -1)):
+        with pytest.raises(ValueError):
+            S.split_text(t, limit, overlap)
+
+
 def test_cuts_are_at_natural_places():
     t = ("一二三四五六七八九十。" * 30 + "\n") * 8
     ends = [t[b - 1] for _, b, _, _ in S.split_text(t)]
