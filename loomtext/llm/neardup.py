@@ -3,8 +3,9 @@
 One-permutation hashing: every distinct 5-character window of a text is hashed once, the hash names a bin and a value, and the
 bins' least values are the signature; empty bins borrow from full ones by optimal densification (each draws its own
 donor from a universal hash). Bands of the signature are buckets. Within a bucket only star edges to its least row are
-candidates, so candidates are linear in the rows; rows that turn out unlike their star's centre form the next star.
-Exact similarity decides. Two rows tied to one centre are at least half alike, so the paths of length two complete the pairs.
+candidates, so candidates are linear in the rows; rows that turn out unlike their star's centre form the next star, until no
+bucket holds any. Exact similarity decides. Classes come from the stars alone. Where all pairs are asked for, two rows tied to one
+centre are compared too, if their similarities to it allow the threshold: one less the similarity is a metric.
 Rows of equal content are folded to one representative before anything else and unfolded at the end.
 """
 
@@ -15,7 +16,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -26,8 +27,10 @@ THRESHOLD = 0.7
 #: Bands and values per band: of pairs at 0.75 all but one in 3,000 share a bucket, of pairs at 0.2 one in 100 does.
 BANDS, ROWS = 30, 5
 BINS = BANDS * ROWS
-#: Stars drawn per bucket: the second and third gather the rows unlike the centres before them.
-ROUNDS = 3
+#: How many times as many centres a bucket has in each further round.
+GROWTH = 8
+#: Edges of one centre that go to one task: the contents of busier centres are sent to several.
+EDGES_A_TASK = 5000
 SKETCHED = 64
 #: Share of sketch values that must agree before contents are compared: six standard deviations under a pair at 0.75.
 LIKELY = 0.45
@@ -143,10 +146,137 @@ def _checked(part: dict) -> dict:
     return {"t": part["t"], "a": part["a"], "b": part["b"], "sim": sims}
 
 
+def _salted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(edges with a part number, (t, a, parts) of the centres whose edges fill more than one part)."""
+    busy = edges.groupBy("t", "a").agg(F.ceil(F.count("*") / EDGES_A_TASK).cast("int").alias("parts")).where("parts > 1")
+    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int")
+    return edges.join(busy, ["t", "a"], "left").withColumn("part", part).drop("parts"), busy
+
+
 def _with(edges: DataFrame, of: DataFrame, col: str) -> DataFrame:
-    """The edges with a column of their two ends."""
+    """The edges with a column of their two ends. A busy centre's value is sent once to each part of its edges."""
+    edges, busy = _salted(edges)
     ends = [of.select("t", F.col("rec_id").alias(x), F.col(col).alias(f"{col}_{x}")) for x in "ab"]
-    return edges.join(ends[0], ["t", "a"]).join(ends[1], ["t", "b"])
+    parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    centres = ends[0].join(busy, ["t", "a"], "left").withColumn("part", F.explode(parts)).drop("parts")
+    return edges.join(centres, ["t", "a", "part"]).join(ends[1], ["t", "b"]).drop("part")
+
+
+def _exact(edges: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(t, a, b, sim) of edges, sim exact. Only the contents that edges name are shuffled to them."""
+    named = edges.select("t", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
+    own = bodies.join(named, ["t", "rec_id"], "left_semi")
+    return common.map_batches(_with(edges, own, "body"), _checked, "t int, a long, b long, sim double", rows=1000, text="body_a")
+
+
+class Stars:
+    """What every result starts from: members, checked star edges, and what is needed to check more."""
+
+    def __init__(self, df: DataFrame):
+        schema = "tab string, rec_id long, key binary, body string, bands array<bigint>, sketch binary"
+        rows = common.materialize(common.map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text"), _rows, schema))
+        # a class's copies are folded before the shuffle where they meet in one task
+        reps = rows.groupBy("tab", "key").agg(F.min("rec_id").alias("rep"))
+        #: (tab, rec_id, rep) of every row.
+        self.members = common.materialize(rows.select("tab", "rec_id", "key").join(reps, ["tab", "key"]).select("tab", "rec_id", "rep").distinct())
+        own = self.members.where("rec_id = rep").select("tab", "rec_id")
+        # tables are few; a number is less to shuffle than a name
+        self.tabs = sorted(r["tab"] for r in self.members.select("tab").distinct().collect())
+        nodes = rows.where("body <> ''").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"]).withColumn("t", self._number())
+        whole = common.materialize(nodes.select("t", "rec_id", "bands", "sketch", "body"))
+        common.drop(rows)
+        #: (t, rec_id, sketch) and (t, rec_id, body) of the representatives that have letters or digits.
+        self.nodes, self.bodies = whole.select("t", "rec_id", "sketch"), whole.select("t", "rec_id", "body")
+        self._whole = whole
+        self.edges, self.rounds = self._drawn(whole.select("t", "rec_id", F.explode("bands").alias("bucket")))
+
+    def _number(self):
+        return F.array_position(F.lit(self.tabs), F.col("tab")).cast("int") if self.tabs else F.lit(0)
+
+    def name(self):
+        return F.element_at(F.lit(self.tabs), F.col("t")) if self.tabs else F.lit(None).cast("string")
+
+    def likely(self, edges: DataFrame) -> DataFrame:
+        return common.map_batches(_with(edges, self.nodes, "sketch"), _near, "t int, a long, b long, likely boolean", rows=20_000)
+
+    def _drawn(self, held: DataFrame) -> tuple[DataFrame, int]:
+        """(t, a, b, sim) of the star edges whose sketches are alike, whatever their similarity, and the rounds it took.
+
+        A bucket's least row is its first centre; rows whose sketch is unlike it stay for the next round, in which the bucket has
+        GROWTH times as many centres. A row leaves a bucket with the first round that ties it to a centre or makes it one.
+        """
+        checked, written, rounds, n = None, [], 0, 1
+        while True:
+            if n == 1:
+                centres = held.groupBy("t", "bucket").agg(F.min("rec_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("t", "bucket", "a")
+            else:
+                w = Window.partitionBy("t", "bucket").orderBy("rec_id")
+                centres = held.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).select("t", "bucket", F.col("rec_id").alias("a"))
+            stars = common.materialize(held.join(centres, ["t", "bucket"]).where("rec_id > a").select("t", "bucket", "a", F.col("rec_id").alias("b")))
+            written.append(stars)
+            if checked is not None and not stars.limit(1).count():
+                break
+            rounds += 1
+            edges = stars.select("t", "a", "b").distinct()
+            if checked is not None:
+                edges = edges.join(checked, ["t", "a", "b"], "left_anti")
+            fresh = common.materialize(self.likely(edges))
+            checked = fresh if checked is None else checked.unionByName(fresh)
+            tied = stars.join(checked, ["t", "a", "b"]).groupBy("t", "bucket", F.col("b").alias("rec_id")).agg(F.bool_or("likely").alias("tied"))
+            # every row but the last centre has an edge to one, so the bucket's last centres are among the tails of edges
+            held = tied.where("NOT tied").select("t", "bucket", "rec_id").join(stars.select("t", "bucket", F.col("a").alias("rec_id")), ["t", "bucket", "rec_id"], "left_anti")
+            held = common.materialize(held)
+            written += [fresh, held]
+            n *= GROWTH
+        edges = common.materialize(_exact(checked.where("likely").select("t", "a", "b"), self.bodies))
+        common.drop(*written)
+        return edges, rounds
+
+    def links(self, threshold: float) -> DataFrame:
+        """(tab, a, b, sim) of all pairs of representatives of at least the threshold: as many rows as there are such pairs."""
+        ties = self.edges.select("t", F.col("a").alias("mid"), F.col("b").alias("end"), "sim").unionByName(self.edges.select("t", F.col("b").alias("mid"), F.col("a").alias("end"), "sim"))
+        # rows of one centre meet in parts of it, so that a busy centre is no single task
+        parts = ties.groupBy("t", "mid").agg(F.ceil(F.count("*") / EDGES_A_TASK).cast("int").alias("parts")).where("parts > 1")
+        left = ties.select("t", "mid", F.col("end").alias("a"), F.col("sim").alias("sim_a")).join(parts, ["t", "mid"], "left")
+        left = left.withColumn("part", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+        right = ties.select("t", "mid", F.col("end").alias("b"), F.col("sim").alias("sim_b")).join(parts, ["t", "mid"], "left")
+        right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+        # the similarity of two ends differs from a common neighbour's by no more than one of them falls short of it
+        able = (F.abs(F.col("sim_a") - F.col("sim_b")) <= 1 - threshold + 1e-9) & (F.col("sim_a") + F.col("sim_b") > 0)
+        paths = left.join(right, ["t", "mid", "part"]).where((F.col("a") < F.col("b")) & able).select("t", "a", "b").distinct()
+        more = common.materialize(paths.join(self.edges.select("t", "a", "b"), ["t", "a", "b"], "left_anti"))
+        more = common.materialize(self.likely(more).where("likely").select("t", "a", "b"))
+        links = self.edges.unionByName(_exact(more, self.bodies)).where(F.col("sim") >= threshold)
+        return common.materialize(links).select(self.name().alias("tab"), "a", "b", "sim")
+
+    def classes(self, threshold: float) -> DataFrame:
+        """(tab, rec_id, rep, class_id): class_id is the least representative that star edges of the threshold lead to. Linear in the rows."""
+        edges = self.edges.where(F.col("sim") >= threshold).select("t", "a", "b")
+        least = common.materialize(connected(edges))
+        cls = least.select(self.name().alias("tab"), F.col("rec_id").alias("rep"), "class_id")
+        return self.members.join(cls, ["tab", "rep"], "left").select("tab", "rec_id", "rep", F.coalesce("class_id", "rep").alias("class_id"))
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """(t, rec_id, class_id) of the nodes of edges (t, a, b): class_id is the least node of a node's component.
+
+    Every node points to the least node it knows of, and to what that one points to, until nothing changes; paths halve each round.
+    """
+    both = common.materialize(edges.select("t", F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select("t", F.col("b").alias("x"), F.col("a").alias("y"))).distinct())
+    to = common.materialize(both.groupBy("t", "x").agg(F.least(F.col("x"), F.min("y")).alias("c")))
+    while True:
+        # the least of what the neighbours point to
+        near = both.join(to.select("t", F.col("x").alias("y"), F.col("c").alias("cy")), ["t", "y"]).groupBy("t", "x").agg(F.min("cy").alias("m"))
+        low = to.join(near, ["t", "x"]).select("t", "x", F.least("c", "m").alias("c"), F.col("c").alias("was"))
+        # and what a node's own target points to
+        jump = to.select("t", F.col("x").alias("c"), F.col("c").alias("cc"))
+        new = common.materialize(low.join(jump, ["t", "c"], "left").select("t", "x", F.least("c", F.coalesce("cc", "c")).alias("c"), "was"))
+        changed = new.where("c <> was").limit(1).count()
+        common.drop(to)
+        to = new.drop("was")
+        if not changed:
+            common.drop(both)
+            return to.select("t", F.col("x").alias("rec_id"), F.col("c").alias("class_id"))
 
 
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -157,50 +287,21 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFr
     Null texts are in neither. Texts without letters or digits have a class by their form and no links. Repeated rows of one
     id and content collapse; an id is expected to name one text of its table. Empty input gives two empty frames.
     """
-    schema = "tab string, rec_id long, key binary, body string, bands array<bigint>, sketch binary"
-    rows = common.materialize(common.map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text"), _rows, schema))
-    # a class's copies are folded before the shuffle where they meet in one task
-    reps = rows.groupBy("tab", "key").agg(F.min("rec_id").alias("rep"))
-    members = common.materialize(rows.select("tab", "rec_id", "key").join(reps, ["tab", "key"]).select("tab", "rec_id", "rep").distinct())
-    own = members.where("rec_id = rep").select("tab", "rec_id")
-    # tables are few; a number is less to shuffle than a name
-    tabs = sorted(r["tab"] for r in members.select("tab").distinct().collect())
-    numbered = lambda d: d.withColumn("t", F.array_position(F.lit(tabs), F.col("tab")).cast("int")) if tabs else d.withColumn("t", F.lit(0))
-    nodes = rows.where("body <> ''").select("tab", "rec_id", "bands", "sketch").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
-    nodes = common.materialize(numbered(nodes).drop("tab"))
-    bucketed = nodes.select("t", F.col("rec_id"), F.explode("bands").alias("bucket"))
-
-    held, checked, written = bucketed, None, [nodes]
-    for _ in range(ROUNDS):
-        centres = held.groupBy("t", "bucket").agg(F.min("rec_id").alias("a"), F.count("*").alias("n")).where("n > 1").select("t", "bucket", "a")
-        stars = common.materialize(held.join(centres, ["t", "bucket"]).where("rec_id <> a").select("t", "bucket", "a", F.col("rec_id").alias("b")))
-        edges = stars.select("t", "a", "b").distinct()
-        if checked is not None:
-            edges = edges.join(checked, ["t", "a", "b"], "left_anti")
-        fresh = common.materialize(common.map_batches(_with(edges, nodes, "sketch"), _near, "t int, a long, b long, likely boolean", rows=20_000))
-        written += [stars, fresh]
-        checked = fresh if checked is None else checked.unionByName(fresh)
-        # what is unlike its centre draws the next star of its bucket
-        held = stars.join(checked.where("NOT likely"), ["t", "a", "b"]).select("t", "bucket", F.col("b").alias("rec_id"))
-
-    good = common.materialize(checked.where("likely").select("t", "a", "b"))
-    ties = good.select("t", F.col("a").alias("mid"), F.col("b").alias("end")).unionByName(good.select("t", F.col("b").alias("mid"), F.col("a").alias("end")))
-    paths = ties.withColumnRenamed("end", "a").join(ties.withColumnRenamed("end", "b"), ["t", "mid"]).where("a < b").select("t", "a", "b")
-    edges = common.materialize(good.unionByName(paths).distinct())
-    common.drop(good, *written)
-    # only the contents that edges name are shuffled to them
-    named = edges.select("t", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
-    bodies = common.materialize(numbered(rows.select("tab", "rec_id", "body")).drop("tab").join(named, ["t", "rec_id"], "left_semi").dropDuplicates(["t", "rec_id"]))
-    common.drop(rows)
-    links = common.map_batches(_with(edges, bodies, "body"), _checked, "t int, a long, b long, sim double", rows=1000, text="body_a")
-    name = F.element_at(F.lit(tabs), F.col("t")) if tabs else F.lit(None).cast("string")
-    return members, links.where(F.col("sim") >= threshold).select(name.alias("tab"), "a", "b", "sim")
+    stars = Stars(df)
+    return stars.members, stars.links(threshold)
+
+
+def version_classes(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(tab, rec_id, rep, class_id) of df's (tab, rec_id, text) rows of non-null text: rep is the least id of equal content, class_id
+    the least id that star edges of the threshold lead to. Edges are linear in the rows: n revised copies of a text have n edges,
+    not n * n. Rows and cases otherwise as in near_duplicates.
+    """
+    return Stars(df).classes(threshold)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tab, id_a, id_b): the pairs of rows at or above the threshold, copies unfolded."""
     members, links = near_duplicates(common.texts(spark, sf_dir).where(F.col("text").rlike(r"(?U)\S")))
-    links = common.materialize(links)
     a = members.select("tab", F.col("rep").alias("a"), F.col("rec_id").alias("x"))
     b = members.select("tab", F.col("rep").alias("b"), F.col("rec_id").alias("y"))
     across = links.join(a, ["tab", "a"]).join(b, ["tab", "b"]).select("tab", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
@@ -210,10 +311,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(tab, rec_id, rep, n_links): every row with its class of equal content and the number of that class's links. Linear in rows and links."""
-    members, links = near_duplicates(common.texts(spark, sf_dir))
-    n = links.select("tab", F.explode(F.array("a", "b")).alias("rep")).groupBy("tab", "rep").agg(F.count("*").alias("n_links"))
-    return members.join(n, ["tab", "rep"], "left").select("tab", "rec_id", "rep", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    """(tab, rec_id, rep, class_id): every row with its class of equal content and its class of versions. Linear in the rows."""
+    return version_classes(common.texts(spark, sf_dir))
 
 
 QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes}

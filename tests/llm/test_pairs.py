@@ -138,6 +138,35 @@ def test_paths_complete_the_pairs(spark):
     assert pairs(*N.near_duplicates(frame(spark, rows))) == brute(rows)
 
 
+def test_many_revised_copies_have_linear_edges(spark):
+    rng = random.Random(11)
+    base = sentence(rng, 300)
+    rows = [(i, base[: i % 290] + f"{i:05d}" + base[i % 290 :]) for i in range(20_000)]
+    df = frame(spark, rows + [(90_000, sentence(rng, 300)), (90_001, None)]).repartition(4)
+    stars = N.Stars(df)
+    assert stars.edges.count() < 6 * len(rows)
+    got = {r["rec_id"]: r["class_id"] for r in stars.classes(N.THRESHOLD).collect()}
+    assert len(got) == len(rows) + 1 and {got[i] for i in range(20_000)} == {0} and got[90_000] == 90_000
+
+
+def test_no_bucket_keeps_unlike_rows(spark):
+    # many unlike families behind one opening: they share buckets, and every family is found
+    rng = random.Random(12)
+    opening = sentence(rng, 150)
+    rows = []
+    for g in range(60):
+        base = opening + sentence(rng, 80)
+        rows += [(10 * g, base), (10 * g + 1, base[:170] + "新" + base[170:])]
+    got = pairs(*N.near_duplicates(frame(spark, rows)))
+    assert got == brute(rows)
+
+
+def test_connected(spark):
+    edges = [(1, a, a + 1) for a in range(40)] + [(1, 100, 200), (2, 5, 7)]
+    got = {(r["t"], r["rec_id"]): r["class_id"] for r in N.connected(spark.createDataFrame(edges, "t int, a long, b long")).collect()}
+    assert got == {(1, i): 0 for i in range(41)} | {(1, 100): 100, (1, 200): 100, (2, 5): 5, (2, 7): 5}
+
+
 def test_signatures_estimate_similarity():
     rng = random.Random(10)
     a = sentence(rng, 600)
