@@ -194,7 +194,7 @@ def test_recall_of_the_curves(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(300, 64))
     x = np.concatenate([centres + rng.normal(scale=0.15, size=centres.shape) for _ in range(4)])
-    got = {(r["rec_id"], r["other"]) for r in K.nearest(vectors(spark, x)).collect()}
+    got = {(r["rec_id"], r["other"]) for r in K.nearest(vectors(spark, x), min_similarity=0.9).collect()}
     want = brute_nearest(x, 5, 0.9)
     assert len(want) > 2000 and len(got & want) >= 0.95 * len(want) and not got - want
 
@@ -203,10 +203,35 @@ def test_dense_group_larger_than_a_window(spark):
     rng = np.random.default_rng(3)
     centre = rng.normal(size=64)
     x = np.array([K.unit(list(v)) for v in np.concatenate([centre + rng.normal(scale=0.2, size=(4000, 64)), rng.normal(size=(1000, 64))])])
-    got = {(r["rec_id"], r["other"]) for r in K.nearest(vectors(spark, x)).collect()}
+    got = {(r["rec_id"], r["other"]) for r in K.nearest(vectors(spark, x), min_similarity=0.9).collect()}
     assert got == brute_nearest(x.astype(float), 5, 0.9) and len(got) == 20_000
 
 
+def recall_of(spark, x, **how):
+    u = np.array([K.unit(list(v)) for v in x])
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    want = np.argpartition(-s, 5, axis=1)[:, :5]
+    got = {}
+    for r in K.nearest(vectors(spark, u), **how).collect():
+        got.setdefault(r["rec_id"], set()).add(r["other"])
+    return sum(len(set(want[i].tolist()) & got.get(i, set())) for i in range(len(u))) / (5 * len(u))
+
+
+def test_windows_without_a_least_similarity(spark):
+    # nothing to go by but the windows: even vectors, beyond what is compared exactly
+    x = np.random.default_rng(5).normal(size=(12_000, 64)) * np.linspace(1.5, 0.5, 64)
+    assert recall_of(spark, x) >= 0.9
+
+
+def test_windows_tell_a_dense_group_apart(spark):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=64)
+    for scale in (0.2, 0.01):
+        x = np.concatenate([centre + rng.normal(scale=scale, size=(4000, 64)), rng.normal(size=(8000, 64))])
+        assert recall_of(spark, x) >= 0.9
+
+
 def test_neighbours_without_a_least_similarity(spark):
     x = np.array([K.unit(list(v)) for v in np.random.default_rng(4).normal(size=(5000, 64))])
     got = {}
