@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .lookalike import one_form
+from .lookalike import Shapes, one_form, public_shapes
 
 WIDTH = 5
 THRESHOLD = 0.7
@@ -48,9 +48,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def content(text: str) -> str:
+def content(text: str, shapes: Shapes | None = None) -> str:
     """Letters and digits of the text's common form in lower case, what similarity is measured on."""
-    return _NOT_ALNUM.sub("", one_form(text).lower())
+    return _NOT_ALNUM.sub("", one_form(text, shapes).lower())
 
 
 def windows(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -116,10 +116,10 @@ def sketches(sig: np.ndarray) -> np.ndarray:
     return low[:, ::2] << 4 | low[:, 1::2]
 
 
-def _rows(part: dict) -> dict:
-    body = [content(t) for t in part["text"]]
+def _rows(part: dict, shapes: Shapes) -> dict:
+    body = [content(t, shapes) for t in part["text"]]
     # texts without a letter or digit are alike only if their forms are equal
-    key = [blake2b((c or "\0" + one_form(t)).encode("utf-8", "surrogatepass"), digest_size=16).digest() for c, t in zip(body, part["text"])]
+    key = [blake2b((c or "\0" + one_form(t, shapes)).encode("utf-8", "surrogatepass"), digest_size=16).digest() for c, t in zip(body, part["text"])]
     sig = signatures(body)
     b = np.ascontiguousarray(bands(sig))
     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, b.size + 1, BANDS), pa.int32()), pa.array(b.ravel(), pa.int64()))
@@ -165,7 +165,7 @@ def _with(edges: DataFrame, of: DataFrame, col: str) -> DataFrame:
 def _exact(edges: DataFrame, bodies: DataFrame) -> DataFrame:
     """(t, a, b, sim) of edges, sim exact. Only the contents that edges name are shuffled to them."""
     named = edges.select("t", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
-    own = bodies.join(named, ["t", "rec_id"], "left_semi")
+    own = common.materialize(bodies.join(named, ["t", "rec_id"], "left_semi").dropDuplicates(["t", "rec_id"]))
     return common.map_batches(_with(edges, own, "body"), _checked, "t int, a long, b long, sim double", rows=1000, text="body_a")
 
 
@@ -174,7 +174,8 @@ class Stars:
 
     def __init__(self, df: DataFrame):
         schema = "tab string, rec_id long, key binary, body string, bands array<bigint>, sketch binary"
-        rows = common.materialize(common.map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text"), _rows, schema))
+        shapes = public_shapes(df.sparkSession)
+        rows = common.materialize(common.map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text"), lambda part: _rows(part, shapes), schema))
         # a class's copies are folded before the shuffle where they meet in one task
         reps = rows.groupBy("tab", "key").agg(F.min("rec_id").alias("rep"))
         #: (tab, rec_id, rep) of every row.
@@ -182,13 +183,11 @@ class Stars:
         own = self.members.where("rec_id = rep").select("tab", "rec_id")
         # tables are few; a number is less to shuffle than a name
         self.tabs = sorted(r["tab"] for r in self.members.select("tab").distinct().collect())
-        nodes = rows.where("body <> ''").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"]).withColumn("t", self._number())
-        whole = common.materialize(nodes.select("t", "rec_id", "bands", "sketch", "body"))
-        common.drop(rows)
-        #: (t, rec_id, sketch) and (t, rec_id, body) of the representatives that have letters or digits.
-        self.nodes, self.bodies = whole.select("t", "rec_id", "sketch"), whole.select("t", "rec_id", "body")
-        self._whole = whole
-        self.edges, self.rounds = self._drawn(whole.select("t", "rec_id", F.explode("bands").alias("bucket")))
+        nodes = rows.where("body <> ''").select("tab", "rec_id", "bands", "sketch").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
+        nodes = common.materialize(nodes.select(self._number().alias("t"), "rec_id", "bands", "sketch"))
+        #: (t, rec_id, sketch) of the representatives that have letters or digits, and (t, rec_id, body) of all rows.
+        self.nodes, self.bodies = nodes.select("t", "rec_id", "sketch"), rows.select(self._number().alias("t"), "rec_id", "body")
+        self.edges, self.rounds = self._drawn(nodes.select("t", "rec_id", F.explode("bands").alias("bucket")))
 
     def _number(self):
         return F.array_position(F.lit(self.tabs), F.col("tab")).cast("int") if self.tabs else F.lit(0)

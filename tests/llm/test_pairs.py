@@ -45,6 +45,23 @@ def test_same_form():
         assert L.one_form(a) != L.one_form(b), (a, b)
 
 
+def test_public_shapes(spark):
+    shapes = L.public_shapes(spark)
+    form = lambda t: L.one_form(t, shapes)
+    for a, b in (*SAME, ("ɡoogle", "google"), ("ɑpple", "apple"), ("αpple", "apple"), ("ⲟpen", "open"), ("ꓐook", "Book"), ("νυ", "vu"), ("Ꮪale", "Sale"), ("ｇооɡle", "google"), ("По", "Πο")):
+        assert form(a) == form(b), (a, b, form(a), form(b))
+        assert form(form(a)) == form(a)
+    for a, b in (*OTHER, ("ı", "i"), ("ſ", "f"), ("𝐀", "A"), ("ᴀ", "A"), ("I", "l"), ("O", "0"), ("rn", "m")):
+        assert form(a) != form(b), (a, b)
+    for t in ("Это русский текст и только.", "Ελληνικά γράμματα", "العربية هنا", "עברית", "漢字と仮名ロ口", "straße", "naïve café"):
+        assert form(t) == t, (t, form(t))
+    # it works the same where it was sent to
+    import pickle
+
+    again = pickle.loads(pickle.dumps(shapes))
+    assert L.one_form("Bитaл ɡoogle", again) == form("Bитaл ɡoogle") == "Витал google"
+
+
 def test_consistent_spelling_is_chosen():
     assert L.one_form("Bитaл") == "Витал" and L.one_form("сор") == "cop" and L.one_form("Витал") == "Витал"
     assert L.one_form(None) is None and L.one_form("") == "" and L.one_form(" ​") == ""
