@@ -35,6 +35,9 @@ SKETCHED = 64
 #: Share of sketch values that must agree before contents are compared: six standard deviations under a pair at 0.75.
 LIKELY = 0.45
 
+#: How contents travel: two bytes an ideograph, one a plain letter.
+PACKED = "gb18030"
+
 _NOT_ALNUM = re.compile(r"[\W_]+")
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _EMPTY = np.uint64(1) << np.uint64(40)
@@ -89,12 +92,13 @@ def signatures(strings: list[str]) -> np.ndarray:
 
 
 def bands(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit bucket key for each band; the band's number is part of it."""
+    """One 40-bit bucket key for each band; the band's number is part of it."""
     h = np.zeros((len(sig), BANDS), np.uint64)
     parts = sig.reshape(len(sig), BANDS, ROWS)
     for k in range(ROWS):
         h = _mix(h + (parts[:, :, k] + np.uint64(1)) * _POWERS[k])
-    return _mix(h + np.arange(1, BANDS + 1, dtype=np.uint64) * _POWERS[3]).view(np.int64)
+    # 40 bits are less to shuffle: of ten billion keys one in a hundred shares a bucket by accident, which costs a look at its sketch
+    return (_mix(h + np.arange(1, BANDS + 1, dtype=np.uint64) * _POWERS[3]) >> np.uint64(24)).view(np.int64)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -121,9 +125,9 @@ def _rows(part: dict, shapes: Shapes) -> dict:
     # texts without a letter or digit are alike only if their forms are equal
     key = [blake2b((c or "\0" + one_form(t, shapes)).encode("utf-8", "surrogatepass"), digest_size=16).digest() for c, t in zip(body, part["text"])]
     sig = signatures(body)
-    b = np.ascontiguousarray(bands(sig))
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, b.size + 1, BANDS), pa.int32()), pa.array(b.ravel(), pa.int64()))
-    return {"tab": part["tab"], "rec_id": part["rec_id"], "key": key, "body": body, "bands": lists, "sketch": [x.tobytes() for x in sketches(sig)]}
+    # five bytes a band
+    b = np.ascontiguousarray(bands(sig)).view(np.uint8).reshape(len(sig), BANDS, 8)[:, :, :5]
+    return {"tab": part["tab"], "rec_id": part["rec_id"], "key": key, "body": [c.encode(PACKED) for c in body], "bands": [x.tobytes() for x in b], "sketch": [x.tobytes() for x in sketches(sig)]}
 
 
 def _near(part: dict) -> dict:
@@ -136,10 +140,10 @@ def _near(part: dict) -> dict:
 
 def _checked(part: dict) -> dict:
     """Edges with both contents to edges with similarity; each distinct string is windowed once per slice."""
-    at: dict[str, int] = {}
+    at: dict[bytes, int] = {}
     for s in (*part["body_a"], *part["body_b"]):
         at.setdefault(s, len(at))
-    of, h = windows(list(at))
+    of, h = windows([s.decode(PACKED) for s in at])
     cut = np.searchsorted(of, np.arange(len(at) + 1))
     sets = [np.unique(h[a:b]) for a, b in zip(cut[:-1], cut[1:])]
     sims = [jaccard(sets[at[a]], sets[at[b]]) for a, b in zip(part["body_a"], part["body_b"])]
@@ -173,7 +177,7 @@ class Stars:
     """What every result starts from: members, checked star edges, and what is needed to check more."""
 
     def __init__(self, df: DataFrame):
-        schema = "tab string, rec_id long, key binary, body string, bands array<bigint>, sketch binary"
+        schema = "tab string, rec_id long, key binary, body binary, bands binary, sketch binary"
         shapes = public_shapes(df.sparkSession)
         rows = common.materialize(common.map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text"), lambda part: _rows(part, shapes), schema))
         # a class's copies are folded before the shuffle where they meet in one task
@@ -183,11 +187,12 @@ class Stars:
         own = self.members.where("rec_id = rep").select("tab", "rec_id")
         # tables are few; a number is less to shuffle than a name
         self.tabs = sorted(r["tab"] for r in self.members.select("tab").distinct().collect())
-        nodes = rows.where("body <> ''").select("tab", "rec_id", "bands", "sketch").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
+        nodes = rows.where(F.length("body") > 0).select("tab", "rec_id", "bands", "sketch").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
         nodes = common.materialize(nodes.select(self._number().alias("t"), "rec_id", "bands", "sketch"))
+        keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.conv(F.hex(F.substr("bands", i * 5 + 1, F.lit(5))), 16, 10).cast("long"))
         #: (t, rec_id, sketch) of the representatives that have letters or digits, and (t, rec_id, body) of all rows.
         self.nodes, self.bodies = nodes.select("t", "rec_id", "sketch"), rows.select(self._number().alias("t"), "rec_id", "body")
-        self.edges, self.rounds = self._drawn(nodes.select("t", "rec_id", F.explode("bands").alias("bucket")))
+        self.edges, self.rounds = self._drawn(nodes.select("t", "rec_id", F.explode(keys).alias("bucket")))
 
     def _number(self):
         return F.array_position(F.lit(self.tabs), F.col("tab")).cast("int") if self.tabs else F.lit(0)
@@ -196,7 +201,11 @@ class Stars:
         return F.element_at(F.lit(self.tabs), F.col("t")) if self.tabs else F.lit(None).cast("string")
 
     def likely(self, edges: DataFrame) -> DataFrame:
-        return common.map_batches(_with(edges, self.nodes, "sketch"), _near, "t int, a long, b long, likely boolean", rows=20_000)
+        """(t, a, b, likely). Both ends meet their sketches in one join; edges are fewer than rows."""
+        ends = edges.select("t", "a", "b", F.explode(F.array("a", "b")).alias("rec_id")).join(self.nodes, ["t", "rec_id"])
+        # a is the lesser end
+        pairs = ends.groupBy("t", "a", "b").agg(F.min_by("sketch", "rec_id").alias("sketch_a"), F.max_by("sketch", "rec_id").alias("sketch_b"))
+        return common.map_batches(pairs, _near, "t int, a long, b long, likely boolean", rows=20_000)
 
     def _drawn(self, held: DataFrame) -> tuple[DataFrame, int]:
         """(t, a, b, sim) of the star edges whose sketches are alike, whatever their similarity, and the rounds it took.
