@@ -1,14 +1,17 @@
 """Problem 3: text that was decoded with a wrong encoding.
 
-Noisy-channel decoding: a garbled stretch is turned back into the bytes it was read from (a lattice in which lost bytes are
-wildcards), and a Viterbi beam looks for the most likely text with those bytes in the encoding they were written in, under
-character and bigram frequencies of the corpus. A stretch counts as damaged if that text is made of the corpus's own
-characters where the stretch itself is not; where all bytes are lost it is damaged beyond recovery.
+Noisy-channel decoding: stretches that may be garbled are proposed by what bytes they can stand for; each is turned back into those
+bytes (a lattice in which lost bytes are wildcards), and a Viterbi search looks for the most likely text with those bytes in the
+encoding they were written in, under the corpus's frequencies of words, characters and bigrams. A stretch is damaged if that text is
+likelier than the stretch as it stands by more than a mistake costs; where all bytes are lost, if the stretch is less likely than
+text that nobody can tell.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -27,11 +30,21 @@ MULTI = ("gb18030", "cp932", "big5", "euc_kr")
 SLOTS = 1 << 20
 #: Characters below this share of the corpus's characters are not its own.
 OWN_SHARE = 2e-7
-BEAM = 12
+#: What a mistake costs, a lost character that nobody can tell, and one that fits nowhere, as log likelihoods.
+MISTAKE, UNTOLD, NOWHERE = -6.0, -7.0, -25.0
+#: Occurrences of a word that make it one of the corpus's, and its share of all words (above what words share slots by accident).
+KNOWN, KNOWN_SHARE = 3, 3e-6
+#: Rows of the word table; a word counts as often as its least slot says.
+WORD_ROWS = 3
 #: A stretch that lost a greater share of its bytes is beyond recovery.
 MOST_LOST = 0.3
 
 _KUN = "锟斤拷"
+#: Words of alphabets, and such with a character that another one-byte encoding may have put there.
+_WORD = re.compile(r"[^\W\d_\u3400-\u9fff\u3040-\u30ff\uac00-\ud7a3]{2,}")
+_MIXED = re.compile(r"[A-Za-z]*(?:[A-Za-z][\u0080-\u04ff\u2010-\u25ff]|[\u0080-\u04ff\u2010-\u25ff][A-Za-z])[A-Za-z\u0080-\u04ff\u2010-\u25ff]*")
+#: Pairs of one-byte encodings, written and read.
+SWAPPED = tuple((w, r) for w in ("cp1252", "mac_roman", "cp850") for r in ("cp1252", "mac_roman", "cp850", "cp437", "cp1250") if w != r)
 
 
 @lru_cache(1)
@@ -90,32 +103,72 @@ def _sequence(encoding: str) -> re.Pattern:
     return re.compile(f"(?:[{two}][{c}]|[{three}][{c}][{c}])+")
 
 
+@lru_cache(None)
+def _broken(encoding: str) -> re.Pattern:
+    """As _sequence, with lost bytes among them."""
+    of: dict[str, list[str]] = {"c": ["�"], "2": [], "3": []}
+    for ch, b in _bytes_of(encoding).items():
+        kind = "c" if b < 0xC0 else "2" if 0xC2 <= b <= 0xDF else "3" if 0xE0 <= b <= 0xEF else None
+        if kind:
+            of[kind].append(re.escape(ch))
+    c, two, three = ("".join(of[k]) for k in "c23")
+    return re.compile(f"(?:[{two}][{c}]|[{three}][{c}][{c}]|�[{c}]{{1,2}})+")
+
+
 @lru_cache(None)
 def _run(encoding: str) -> re.Pattern:
     return re.compile("[" + "".join(re.escape(ch) for ch, b in _bytes_of(encoding).items() if b >= 0x81) + "]{4,}")
 
 
 class Language:
-    """Character and bigram frequencies of the corpus."""
+    """Word, character and bigram frequencies of the corpus."""
 
-    def __init__(self, chars: dict[int, int], slots: np.ndarray):
+    def __init__(self, chars: dict[int, int], slots: np.ndarray, words: np.ndarray | None = None):
         total = max(1, sum(chars.values()))
         self.own = {chr(o) for o, n in chars.items() if o > 0x7F and n >= max(2, OWN_SHARE * total)}
         self.logp = {chr(o): float(np.log(n / total)) for o, n in chars.items()}
         self.floor = float(np.log(0.1 / total))
         self.slots = slots
         self.counts = chars
+        self.words = np.zeros((WORD_ROWS, SLOTS), np.float32) if words is None else words
+        self.n_words = max(1.0, float(self.words[0].sum()))
         # what lost bytes may have been, by the bytes that are left; most frequent first
         self._compatible: dict[tuple, list[str]] = {}
         self._frequent = [chr(o) for o, _ in sorted(chars.items(), key=lambda x: -x[1]) if o > 0x7F and chr(o) in self.own]
+        self._steps: dict[str, float] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_compatible": {}, "_steps": {}}
 
     def step(self, before: str, ch: str) -> float:
-        uni = self.logp.get(ch, self.floor)
-        if not before:
-            return uni
-        n = self.counts.get(ord(before), 0)
-        pair = self.slots[pair_slot(ord(before), ord(ch))] if n else 0
-        return float(np.log(max(1e-12, (pair * 0.9) / max(1, n) + 0.1 * np.exp(uni))))
+        got = self._steps.get(before + ch)
+        if got is None:
+            uni = self.logp.get(ch, self.floor)
+            got = uni
+            if before:
+                n = self.counts.get(ord(before), 0)
+                pair = float(self.slots[pair_slot(ord(before), ord(ch))]) if n else 0.0
+                got = float(np.log(max(1e-12, pair * 0.9 / max(1, n) + 0.1 * np.exp(uni))))
+            if len(self._steps) < 1_000_000:
+                self._steps[before + ch] = got
+        return got
+
+    def count(self, word: str) -> float:
+        """How often the corpus has a word, as far as its slots tell; 0 if that is too seldom to say."""
+        n = float(min(row[k] for row, k in zip(self.words, word_slots(word))))
+        return n if n >= max(KNOWN, KNOWN_SHARE * self.n_words) else 0.0
+
+    def score(self, text: str, before: str = "") -> float:
+        """Log likelihood of a text: by its characters, and a word of the corpus by its frequency where that is likelier."""
+        steps, last = [], before
+        for ch in text:
+            steps.append(NOWHERE if ch == "�" else self.step(last, ch))
+            last = "" if ch == "�" else ch
+        total = sum(steps)
+        for m in _WORD.finditer(text):
+            if n := self.count(m[0]):
+                total += max(0.0, float(np.log(n / self.n_words)) - sum(steps[m.start() : m.end()]))
+        return total
 
     def compatible(self, encoding: str, known: tuple) -> list[str]:
         """Own characters whose bytes agree with the known ones (None for a lost one)."""
@@ -129,20 +182,28 @@ class Language:
                     continue
                 if len(b) == len(known) and all(k is None or k == x for k, x in zip(known, b)):
                     out.append(ch)
-                    if len(out) >= 40:
-                        break
             self._compatible[key] = out
         return self._compatible[key]
 
 
 def pair_slot(a: int, b: int) -> int:
-    return int(_mix(np.array([a << 21 | b], np.uint64))[0] & np.uint64(SLOTS - 1))
+    # _mix of one value, in plain integers
+    h, low = a << 21 | b, 0xFFFFFFFFFFFFFFFF
+    h = (h ^ (h >> 33)) * 0xFF51AFD7ED558CCD & low
+    h = (h ^ (h >> 33)) * 0xC4CEB9FE1A85EC53 & low
+    return (h ^ (h >> 33)) & (SLOTS - 1)
+
+
+def word_slots(word: str) -> list[int]:
+    """The word's slot in each row of the table."""
+    data = word.lower().encode("utf-8", "surrogatepass")
+    return [zlib.crc32(data, 0x9E3779B1 * row & 0xFFFFFFFF) * 0x9E3779B1 >> 7 & (SLOTS - 1) for row in range(WORD_ROWS)]
 
 
 def _count(batches):
-    """Character and bigram counts of a partition's clean rows: (kind, key, n) with kind 0 for characters, 1 for bigram slots."""
+    """Counts of a partition's clean rows: (kind, key, n) with kind 0 for characters, 1 for bigram slots, 2 and on for word slots."""
     suspect = _suspect().search
-    chars, slots = np.zeros(0x110000, np.int64), np.zeros(SLOTS, np.int64)
+    chars, slots, words = np.zeros(0x110000, np.int64), np.zeros(SLOTS, np.int64), np.zeros((WORD_ROWS, SLOTS), np.int64)
     for batch in batches:
         for part in common._slices(batch, 2000, 1_500_000, "text"):
             clean = "\n".join(t for t in part.column("text").to_pylist() if t and not suspect(t))
@@ -152,7 +213,10 @@ def _count(batches):
             chars += np.bincount(codes, minlength=0x110000)
             pairs = _mix(codes[:-1].astype(np.uint64) << np.uint64(21) | codes[1:].astype(np.uint64)) & np.uint64(SLOTS - 1)
             slots += np.bincount(pairs.astype(np.int64), minlength=SLOTS)
-    for kind, table in ((0, chars), (1, slots)):
+            for w, n in Counter(_WORD.findall(clean)).items():
+                for row, k in enumerate(word_slots(w)):
+                    words[row, k] += n
+    for kind, table in enumerate((chars, slots, *words)):
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int64)), pa.array(table[at])], ["kind", "key", "n"])
 
@@ -161,9 +225,11 @@ def language_of(df: DataFrame) -> Language:
     """The frequencies of df's `text`. What reaches the driver has at most as many rows as there are code points and slots."""
     rows = df.select("text").mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()
     kind, key, n = (rows.column(c).to_numpy() for c in ("kind", "key", "n"))
-    slots = np.zeros(SLOTS, np.float32)
+    slots, words = np.zeros(SLOTS, np.float32), np.zeros((WORD_ROWS, SLOTS), np.float32)
     slots[key[kind == 1]] = n[kind == 1]
-    return Language(dict(zip(key[kind == 0].tolist(), n[kind == 0].tolist())), slots)
+    for row in range(WORD_ROWS):
+        words[row, key[kind == 2 + row]] = n[kind == 2 + row]
+    return Language(dict(zip(key[kind == 0].tolist(), n[kind == 0].tolist())), slots, words)
 
 
 @dataclass
@@ -180,7 +246,12 @@ Lattice = list  # of byte values, None for a lost byte
 
 
 def decode_lattice(lattice: Lattice, encoding: str, language: Language) -> tuple[str, float]:
-    """The most likely text of the bytes in utf-8 or gbk, and its score; bytes that fit nowhere become U+FFFD."""
+    """The most likely text of the bytes in utf-8 or gbk, and its score; bytes that fit nowhere become U+FFFD.
+
+    Exact under the bigrams: a state (the last character) is only given up if its lead over the best one can't be made good, as it
+    counts for one step alone, which brings no more than 0 and costs no more than the rarest character after anything.
+    """
+    behind = float(np.log(0.1)) + language.floor
     n = len(lattice)
     beams: list[dict[str, tuple[float, str]]] = [{} for _ in range(n + 1)]
     beams[0][""] = (0.0, "")
@@ -193,7 +264,9 @@ def decode_lattice(lattice: Lattice, encoding: str, language: Language) -> tuple
     for i in range(n):
         if not beams[i]:
             continue
-        states = sorted(beams[i].items(), key=lambda x: -x[1][0])[:BEAM]
+        top = max(x[0] for x in beams[i].values())
+        states = [x for x in beams[i].items() if x[1][0] >= top + behind]
+        beams[i] = {}
         options: list[tuple[int, str, float]] = []
         b = lattice[i]
         if b is not None and b < 0x80:
@@ -219,13 +292,15 @@ def decode_lattice(lattice: Lattice, encoding: str, language: Language) -> tuple
                         continue
                     if len(ch) == 1:
                         options.append((size, ch, 0.0))
-                elif sum(x is None for x in full) < size:
+                elif all(x is None for x in full):
+                    options.append((size - missing, "�", NOWHERE))  # one character that nobody can tell
+                else:
                     cost = -2.0 * missing
                     options.extend((size - missing, c, cost) for c in language.compatible(encoding, full))
-        options.append((1, "�", -25.0))
+        options.append((1, "�", NOWHERE))
         for size, ch, cost in options:
             for before, (score, text) in states:
-                put(i + size, ch, score + cost + language.step(before if before != "�" else "", ch), text + ch)
+                put(i + size, ch, score + cost + (0.0 if ch == "�" else language.step(before if before != "�" else "", ch)), text + ch)
     score, text = max(beams[n].values())
     return text, score
 
@@ -303,6 +378,15 @@ def _utf8_spans(line: str, encoding: str, own: set) -> list[tuple[int, int, int]
     return out
 
 
+def _reads(span: str, encoding: str, to: str) -> bool:
+    """Whether a span's bytes are whole text in another encoding."""
+    data = _lattice(span, encoding)
+    try:
+        return None not in data and bool(bytes(data).decode(to))
+    except UnicodeDecodeError:
+        return False
+
+
 def _gbk_share(data: Lattice, own: set) -> tuple[int, float]:
     """(own ideographs, their share) if the bytes are read in pairs; the better of the two ways to pair them."""
     best = (0, 0.0)
@@ -329,10 +413,53 @@ def _own(text: str, own: set) -> bool:
 
 
 def find_stretches(text: str, language: Language) -> list[Stretch]:
-    """The damaged stretches of a text, unrestored (text None), in order and without overlap."""
-    if not text or not _suspect().search(text):
+    """The damaged stretches of a text with what they were, in order and without overlap."""
+    if not text:
         return []
-    own, out = language.own, []
+    return [x for x in (_judged(text, x, language) for x in proposals(text, language)) if x]
+
+
+def _judged(text: str, x: Stretch, language: Language) -> Stretch | None:
+    """The stretch with its most likely text if that is likelier than the stretch as it stands, None if not."""
+    span = text[x.start : x.end]
+    got = _restored(span, x.how, language)
+    if got is None or got == span or got.count("�") > span.count("�") > 0:
+        got = None
+        # nothing can be told: only what isn't the corpus's own speaks for a mistake
+        odd = [c for c in span if c > "\x7f" and (c not in language.own or c in _KUN)]
+        gain = sum(UNTOLD - language.logp.get(c, language.floor) for c in odd)
+    else:
+        before = text[x.start - 1] if x.start else ""
+        gain = language.score(got, before) - language.score(span, before)
+    return Stretch(x.start, x.end, got, x.how) if gain + MISTAKE > 0 else None
+
+
+def _swapped(text: str, language: Language) -> list[Stretch]:
+    """Words that are none of the corpus's, but are with their bytes read in another one-byte encoding."""
+    out = []
+    for m in _MIXED.finditer(text):
+        if m[0].isascii() or language.count(m[0]):
+            continue
+        best = (0.0, None)
+        for written, read in SWAPPED:
+            table = _bytes_of(read)
+            try:
+                got = bytes(ord(c) if c < "\x80" else table[c] for c in m[0]).decode(written)
+            except (KeyError, UnicodeDecodeError):
+                continue
+            if got != m[0] and got.isalpha() and (n := language.count(got)) > best[0]:
+                best = (n, f"{read}>{written}")
+        if best[1]:
+            out.append(Stretch(m.start(), m.end(), None, best[1]))
+    return out
+
+
+def proposals(text: str, language: Language) -> list[Stretch]:
+    """Stretches that may be damaged, by what bytes they can stand for; text None, in order and without overlap."""
+    swapped = _swapped(text, language)
+    if not _suspect().search(text):
+        return swapped
+    own, out = language.own, swapped
     for enc in SINGLE:
         table = _bytes_of(enc)
         for m in _sequence(enc).finditer(text):
@@ -347,10 +474,28 @@ def find_stretches(text: str, language: Language) -> list[Stretch]:
             if len(got) == 1 and enc != "cp1252" and not got.isprintable():
                 continue  # a letter before a soft hyphen or a fixed space
             out.append(Stretch(m.start(), m.end(), None, f"{enc}>utf-8{twice}"))
+        if "�" in text:
+            # with lost bytes among them a run is one stretch; what is there of it must be such sequences
+            for m in _broken(enc).finditer(text):
+                if "�" in m[0] and (n := sum(len(x[0]) for x in _sequence(enc).finditer(m[0]))) >= 2 and n >= 0.3 * len(m[0]):
+                    out.append(Stretch(m.start(), m.end(), None, f"{enc}>utf-8"))
+        upto = 0
         for m in _run(enc).finditer(text):
+            if m.start() < upto:
+                continue
             n, share = _gbk_share(_lattice(m[0], enc), own)
             if n >= 3 and share >= 0.7 and sum(c in own for c in m[0]) < 0.8 * len(m[0]):
-                out.append(Stretch(m.start(), m.end(), None, f"{enc}>gbk"))
+                # second bytes may look like plain letters: as far as the line goes on that way
+                end = m.end()
+                for more in _run(enc).finditer(text, m.end(), (text + "\n").index("\n", m.end())):
+                    between = text[end : more.start()]
+                    if not between.isascii() or len(between) > 40 or not _reads(text[m.start() : more.end()], enc, "gbk"):
+                        break
+                    end = more.end()
+                if end < len(text) and not _reads(text[m.start() : end], enc, "gbk") and _reads(text[m.start() : end + 1], enc, "gbk"):
+                    end += 1
+                upto = end
+                out.append(Stretch(m.start(), end, None, f"{enc}>gbk"))
     for line in re.finditer(r"[^\n]+", text):
         s = line[0]
         rare = sum(1 for _ in _odd().finditer(s))
@@ -401,6 +546,8 @@ def _restored(span: str, how: str, language: Language) -> str | None:
     lost = sum(x is None for x in data)
     if lost > MOST_LOST * len(data):
         return None
+    if to in SINGLE:
+        return None if lost else bytes(data).decode(to, "replace")
     if not lost:
         try:
             return bytes(data).decode(to)
@@ -417,7 +564,7 @@ def restore(text: str | None, language: Language) -> tuple[str | None, int, int]
     parts, at, n, done = [], 0, 0, 0
     for x in find_stretches(text, language):
         n += 1
-        got = _restored(text[x.start : x.end], x.how, language)
+        got = x.text
         parts.append(text[at : x.start])
         parts.append(text[x.start : x.end] if got is None else got)
         done += got is not None

@@ -114,6 +114,56 @@ def test_garbled_text_is_found_and_restored(language, written, read):
     assert n >= 1 and (got == "前文。\n" + ZH or "�" in bad and same >= 0.5 * len(ZH)), got
 
 
+def _misread(line, written, read):
+    """The line as bytes, read one byte a character."""
+    back = {b: c for c, b in J._bytes_of(read).items()}
+    return "".join(chr(b) if b < 128 else back.get(b, "�") for b in line.encode(written))
+
+
+def test_ten_channels_with_and_without_lost_bytes(spark):
+    """Clean lines of the corpus, garbled: found, and restored where bytes are enough to tell."""
+    import difflib
+    import os
+    import re as regex
+
+    from loomtext.llm import common
+
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test data here")
+    df = common.texts(spark, folder)
+    language, rng = J.language_of(df), random.Random(1)
+    lines = [x for r in df.collect() if not J._suspect().search(r["text"]) for x in r["text"].split("\n") if 20 <= len(x) <= 200]
+    hanzi = [x for x in lines if sum("一" <= c <= "鿿" for c in x) > 10]
+    latin = [x for x in lines if not regex.search("[一-鿿]", x) and len(regex.findall("[à-ÿ]", x)) >= 2]
+    whole = [("utf-8", read, of) for read in J.SINGLE for of in (hanzi, latin)] + [("gbk", "cp1252", hanzi)]
+    swapped = [("cp1252", "cp850", latin), ("cp1252", "mac_roman", latin), ("cp1252", "cp437", latin), ("mac_roman", "cp1252", latin)]
+    for written, read, of in whole + swapped:
+        for lost in (0.0, 0.04) if written == "utf-8" else (0.0,):
+            found, alike, picked = 0, 0.0, rng.sample(of, 30)
+            for x in picked:
+                x = x.encode(written, "ignore").decode(written)
+                bad = "".join("�" if c > "\x7f" and rng.random() < lost else c for c in _misread(x, written, read))
+                got, n, _ = J.restore("前。\n" + bad, language)
+                found += n > 0
+                alike += difflib.SequenceMatcher(None, got[3:], x, autojunk=False).ratio()
+            swap = (written, read, of) in swapped
+            assert found >= (0.75 if swap else 0.95) * len(picked), (written, read, lost, found)
+            assert alike >= (0.9 if swap else 0.95) * len(picked), (written, read, lost, alike)
+
+
+def test_viterbi_is_exact(language):
+    """Giving up states that can't catch up changes nothing: as good as trying every way."""
+    import itertools
+
+    data = list("病程".encode())
+    data[1] = data[5] = None
+    ways = [language.compatible("utf-8", tuple(data[:3])), language.compatible("utf-8", tuple(data[3:]))]
+    best = max(itertools.product(*ways), key=lambda w: language.step("", w[0]) + language.step(w[0], w[1]))
+    got, score = J.decode_lattice(data, "utf-8", language)
+    assert abs(score - (language.step("", best[0]) + language.step(*best))) < 1e-6 and len(ways[0]) > 1
+
+
 def test_latin_text_and_double_mistakes(language):
     once = "the café-au-lait spots – stay".encode().decode("cp1252")
     assert J.restore(once, language)[0] == "the café-au-lait spots – stay"
