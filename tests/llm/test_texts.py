@@ -157,12 +157,12 @@ def test_viterbi_is_exact(language):
     import itertools
 
     data = list("病程".encode())
-    data[1] = data[5] = None
+    data[2] = data[5] = None
     ways = [language.compatible("utf-8", tuple(data[:3])), language.compatible("utf-8", tuple(data[3:]))]
     best = max(itertools.product(*ways), key=lambda w: language.step("", w[0]) + language.step(w[0], w[1]))
     got, score = J.decode_lattice(data, "utf-8", language)
     # there are still other ways to cut the bytes
-    assert score >= language.step("", best[0]) + language.step(*best) - 1e-6 and len(ways[0]) > 1
+    assert score >= language.step("", best[0]) + language.step(*best) - 1e-6 and len(ways[0]) * len(ways[1]) > 1
 
 
 def test_latin_text_and_double_mistakes(language):
