@@ -19,7 +19,7 @@ from .operators import sample as S
 from .operators import search as Q
 from .operators import store as St
 from .plans import pipeline
-from .scratch import materialize
+from .scratch import materialize, shared_dir
 from .sources import raw as R
 
 WIDTH = 64
@@ -140,11 +140,6 @@ def clean_plain(spark: SparkSession, d: str) -> DataFrame:
 
 
 def strip_boilerplate(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "site_documents").where("raw_text IS NOT NULL").select("id", T.strip_boilerplate(F.col("raw_text"), 500, unescape=False).alias("text"))
-
-
-def strip_boilerplate_whole(spark: SparkSession, d: str) -> DataFrame:
-    """As strip_boilerplate, texts of any length to their end."""
     return _t(spark, d, "site_documents").where("raw_text IS NOT NULL").select("id", T.strip_boilerplate(F.col("raw_text"), None, unescape=False).alias("text"))
 
 
@@ -187,16 +182,12 @@ _STRIP = f"regexp_replace(regexp_replace(%s, '^{_S}+', ''), '{_S}+$', '')"
 _BOIL = ("(?is)(cookie|privacy|terms of use|all rights reserved|©|©️)[^\\n]{0,120}", "(?i)(本网站|版权所有|保留所有权利|使用条款|隐私政策|免责声明)[^\\n]*", "(?i)(微信|公众号|扫码|关注我们|订阅我们|下载应用)[^\\n]*")
 
 
-def _sql_boil_whole(x: str) -> str:
+def _sql_boil(x: str) -> str:
     for p in _BOIL:
         x = f"regexp_replace({x}, '{p}', ' ', 'g')"
     return _sql_clean(x)
 
 
-def _sql_boil(x: str) -> str:
-    return f"left({_sql_boil_whole(x)}, 500)"
-
-
 # ------------------------------------------------------------------ terms
 
 
@@ -287,7 +278,7 @@ def extract_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
-    return C.chunk_documents(_t(spark, d, "documents").select("doc_id", "text"), "text", ChunkConfig())
+    return C.chunk_documents(_t(spark, d, "documents").select("doc_id", "text"), "text", ChunkConfig(512, 100, 80))
 
 
 def chunk_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -315,7 +306,8 @@ def lsa_search(spark: SparkSession, d: str) -> DataFrame:
 def _load(spark: SparkSession, d: str, times: int) -> list[dict]:
     raw = R.from_texts(_t(spark, d, "documents"))
     with tempfile.TemporaryDirectory() as own:
-        config = replace(Config(), warehouse=_warehouse(spark, own))
+        # nothing from the environment: a query gives one result
+        config = replace(Config(), warehouse=_warehouse(spark, own), chunk=ChunkConfig(512, 100, 80), min_text=120)
         store = St.Store(spark, config.warehouse)
         got = [St.load(store, raw, config) for _ in range(times)]
         store.drop()
@@ -326,7 +318,7 @@ def _warehouse(spark: SparkSession, own: str) -> str:
     import uuid
 
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{named.rstrip('/')}/store-{uuid.uuid4().hex}" if named else f"file://{own}/store"
+    return f"{shared_dir(spark)}/store-{uuid.uuid4().hex}" if named or not spark.sparkContext.master.startswith("local") else f"file://{own}/store"
 
 
 def ingest_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -343,7 +335,7 @@ def ingest_idempotent(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES = (
     topk_single, topk_filtered, topk_batched, topk_indexed, search_chunks, search_chunks_filtered,
     l2_norm, l2_normalize, fit_width,
-    clean_text, dedupe_lines, clean_plain, strip_boilerplate, strip_boilerplate_whole, paragraphs, detect_lang, lang_counts, token_count, sentence_split, min_doc_filter,
+    clean_text, dedupe_lines, clean_plain, strip_boilerplate, paragraphs, detect_lang, lang_counts, token_count, sentence_split, min_doc_filter,
     tfidf_terms, doc_freq, tfidf_weights,
     equidistant_sample, source_cap, new_documents, one_per_url, merge_pages, link_extract, url_parts, metadata_chunks, chunk_orphans, chunk_stats,
     html_to_text, extract_pages, chunk_documents, chunk_totals, lsa_embed, lsa_search, ingest_stats, ingest_idempotent,
@@ -366,7 +358,6 @@ _SQL = {
     "clean_text": f"SELECT doc_id, {_sql_clean('text')} AS text FROM documents",
     "dedupe_lines": "SELECT id, array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: i = 1 OR p[i] <> p[i - 1]), lambda i: p[i]), chr(10)) AS text FROM (SELECT id, string_split(raw_text, chr(10)) AS p FROM site_documents WHERE raw_text IS NOT NULL)",
     "strip_boilerplate": f"SELECT id, {_sql_boil('raw_text')} AS text FROM site_documents WHERE raw_text IS NOT NULL",
-    "strip_boilerplate_whole": f"SELECT id, {_sql_boil_whole('raw_text')} AS text FROM site_documents WHERE raw_text IS NOT NULL",
     "paragraphs": rf"""SELECT doc_id, len(p) AS n, array_to_string(p, '|') AS joined FROM (
   SELECT doc_id, list_filter(list_transform(string_split_regex(text, '\n{_S}*\n'), lambda x: {_STRIP % 'x'}), lambda x: x <> '') AS p FROM documents WHERE text IS NOT NULL)""",
     "detect_lang": f"SELECT doc_id, {_sql_lang('text')} AS lang FROM documents",
@@ -398,6 +389,7 @@ replace(regexp_replace(regexp_replace(regexp_replace(source_url, '^[a-z][a-z0-9+
     "chunk_orphans": "SELECT document_id, count(*) AS n FROM chunks c WHERE NOT EXISTS (SELECT 1 FROM site_documents d WHERE d.id = c.document_id AND d.raw_text IS NOT NULL) GROUP BY 1",
     "chunk_stats": "SELECT document_id, count(*) AS chunks, CAST(sum(token_count) AS BIGINT) AS tokens, CAST(sum(char_length) AS BIGINT) AS characters FROM chunks GROUP BY 1",
     "chunk_totals": f"SELECT doc_id, len(regexp_extract_all(text, '{_TOKENS}')) AS n FROM documents WHERE len(regexp_extract_all(coalesce(text, ''), '{_TOKENS}')) > 0",
+    "ingest_stats": f"WITH t AS (SELECT {_sql_clean('text')} AS t FROM documents) SELECT {_sql_lang('t')} AS lang, count(*) AS n FROM t WHERE length(t) >= 120 GROUP BY 1",
     "ingest_idempotent": f"SELECT count(*) AS first, 0::BIGINT AS second, 0::BIGINT AS second_chunks FROM documents WHERE length({_sql_clean('text')}) >= 120",
 }
 

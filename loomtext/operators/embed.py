@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import json
 import time
+import warnings
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -24,29 +26,57 @@ from ..functions import text as T
 from ..scratch import materialize
 
 OVERSAMPLE, POWER_ITERATIONS, SEED = 10, 5, 42
+#: Terms whose idf is broadcast in any case (some 20 MB), and beyond that: those that one row in so many has.
+BROADCAST_TERMS, FREQUENT = 300_000, 1000
+
+
+def _counted(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """(keep..., terms, tfs): each row's distinct terms and how often it has them. No shuffle: a document is one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_terms")
+            flat = lists.flatten().dictionary_encode()
+            row = np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+            n = max(1, len(flat.dictionary))
+            pair, tf = np.unique(row * n + flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), return_counts=True)
+            ends = np.searchsorted(pair, np.arange(len(lists) + 1) * n).astype(np.int32)
+            terms = flat.dictionary.take(pa.array(pair % n)) if len(pair) else pa.array([], pa.string())
+            made = (pa.ListArray.from_arrays(pa.array(ends), x) for x in (terms, pa.array(tf.astype(np.int64))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], [*keep, "terms", "tfs"])
+
+    rows = df.where(F.col(text).isNotNull()).select(*keep, T.terms(F.col(text)).alias("_terms"))
+    kinds = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in keep)
+    return rows.mapInArrow(run, f"{kinds}terms array<string>, tfs array<bigint>")
+
+
+def _frequencies(counted: DataFrame) -> DataFrame:
+    return counted.select(F.inline(F.arrays_zip("terms", "tfs"))).groupBy(F.col("terms").alias("term")).agg(F.count("*").alias("df"), F.sum("tfs").alias("tf"))
 
 
 def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
-    """(term, df, tf): documents with the term, and its occurrences. One scan, one shuffle of terms added up before it."""
-    t = F.col("_terms")
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    row = lambda d, n: lambda x: F.struct(x.alias("term"), d.alias("d"), n.alias("n"))
-    both = F.concat(F.transform(F.array_distinct(t), row(one, none)), F.transform(t, row(none, one)))
-    return df.where(F.col(text).isNotNull()).select(T.terms(F.col(text)).alias("_terms")).select(F.inline(both)).groupBy("term").agg(F.sum("d").alias("df"), F.sum("n").alias("tf"))
+    """(term, df, tf): documents with the term, and its occurrences. One scan, one shuffle of a document's distinct terms, added up before it."""
+    return _frequencies(_counted(df, text))
 
 
 def term_weights(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, term, weight): sublinear tf x smoothed idf, at unit length for each document. Documents without terms have no rows.
+    """(key, term, weight): sublinear tf x smoothed idf, at unit length for each row. Rows of null text and rows without terms have none.
 
-    Texts are shuffled by document once, before they are taken apart: counting and the documents' norms then need no shuffle of terms.
+    Texts are read once. The idf of terms that at least one row in FREQUENT has is broadcast: there are no more of them than FREQUENT
+    times the distinct terms of a row. Only occurrences of rarer terms are shuffled to their idf, so no key is hot; and rows' norms
+    are added up before they are shuffled.
     """
+    counted = materialize(_counted(df.withColumn("_row", F.monotonically_increasing_id()), text, "_row", key))
     n = df.count()
-    rows = df.select(key, text).repartition(F.col(key))
-    counts = rows.select(key, F.explode(T.terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    found = document_frequencies(df, text).select("term", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = counts.join(found, "term").select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-    return w.select(key, "term", (F.col("w") / norm).alias("weight"))
+    idf = materialize(_frequencies(counted).select("term", "df", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf")))
+    each = counted.select("_row", key, F.inline(F.arrays_zip("terms", "tfs"))).withColumnRenamed("terms", "term")
+    # all of them where they are few anyway
+    least = 0 if idf.count() <= BROADCAST_TERMS else max(1, n // FREQUENT)
+    common = each.join(F.broadcast(idf.where(F.col("df") >= least)), "term")
+    rare = each.join(idf.where(F.col("df") < least), "term") if least else None
+    w = (common if rare is None else common.unionByName(rare)).select("_row", key, "term", ((1 + F.log("tfs")) * F.col("idf")).alias("w"))
+    norms = w.groupBy("_row").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return w.join(norms, "_row").select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
 def _runs(d: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -208,16 +238,33 @@ def register_backend(name: str, make: Callable[[EmbeddingConfig], Encode]) -> No
     BACKENDS[name] = make
 
 
-def backend_name(name: str) -> str:
-    """The backend behind a name or alias; 'auto' is the fitted model, which needs nothing from outside."""
+def backend_name(name: str, config: EmbeddingConfig | None = None) -> str:
+    """The backend behind a name or alias.
+
+    'auto' takes the first that works: the service if an address is configured and answers, the local model if one is named and its
+    library is there, else the fitted model, which needs nothing from outside.
+    """
     n = ALIASES.get(name.lower(), name.lower())
-    if n in ("auto", "tfidf"):
+    if n == "auto":
+        for other in ("http",) * bool(config and config.options.get("url")) + ("sentence-transformers",) * bool(config and config.model_name):
+            try:
+                if len(BACKENDS[other](config)(["a"], False)) == 1:
+                    return other
+            except Exception as e:  # whatever keeps it from answering
+                warnings.warn(f"embedding backend {other} does not work here: {e}", stacklevel=2)
+        return "tfidf"
+    if n == "tfidf":
         return "tfidf"
     if n not in BACKENDS:
         raise KeyError(f"unknown embedding backend {name!r}; there are: tfidf, {', '.join(sorted(BACKENDS))}")
     return n
 
 
+def learned_width(config: EmbeddingConfig) -> int:
+    """How many values a plugged-in backend's vectors have, by asking it for one."""
+    return int(np.asarray(BACKENDS[backend_name(config.backend, config)](config)(["a"], False)).shape[1])
+
+
 def _fit_width(v: np.ndarray, dim: int, normalize: bool) -> np.ndarray:
     out = np.zeros((len(v), dim), np.float32)
     out[:, : min(dim, v.shape[1])] = v[:, :dim]
@@ -244,7 +291,7 @@ def encode_checked(encode: Encode, texts: list[str], config: EmbeddingConfig, is
 
 def embed_with(text: Column, config: EmbeddingConfig, is_query: bool = False) -> Column:
     """Vectors by a registered backend, which is made once a worker."""
-    make = BACKENDS[backend_name(config.backend)]
+    make = BACKENDS[backend_name(config.backend, config)]
 
     @arrow_udf("array<float>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -294,7 +341,11 @@ def _sentence_transformers(config: EmbeddingConfig) -> Encode:
     """A local model, if its library is installed; queries get the configured instruction in front."""
     from sentence_transformers import SentenceTransformer
 
-    model = SentenceTransformer(config.model_name, device=config.options.get("device", "cpu"))
+    try:
+        model = SentenceTransformer(config.model_name, device=config.options.get("device", "cpu"))
+    except (RuntimeError, AssertionError):
+        # a device that isn't there
+        model = SentenceTransformer(config.model_name, device="cpu")
 
     def encode(texts: list[str], is_query: bool) -> np.ndarray:
         given = [config.query_instruction + t for t in texts] if is_query and config.query_instruction else texts

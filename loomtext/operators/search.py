@@ -27,22 +27,27 @@ def top_k(df: DataFrame, query: list[float], k: int = 5, tie: tuple[str, ...] =
     return sim.orderBy(F.desc("similarity"), *tie).limit(k).withColumn("similarity", F.round("similarity", 4))
 
 
-def search_chunks(documents: DataFrame, chunks: DataFrame, query: list[float], k: int = 5, sources: list[str] | None = None) -> DataFrame:
+def search_chunks(documents: DataFrame, chunks: DataFrame, query: list[float], k: int = 5, sources: list[str] | None = None, vectors: DataFrame | None = None) -> DataFrame:
     """(source, url, title, chunk_index, text, similarity) of the k chunks most similar to the query.
 
-    No sources: all of them. The filter goes to the documents' scan, and the candidates are cut to k before titles are joined
-    unless a filter has to come first.
+    vectors (document_id, chunk_index, embedding, source) if they aren't in `chunks`. No sources: all of them. A chunk of no document is
+    no hit. Sources go to the scans of all tables that have them; similarities come first, so that what is joined are ids and
+    numbers, and texts and titles are read for the k hits only. Rows of one document and index are hits of their own.
     """
     docs = documents.select(F.col("id").alias("document_id"), "source", F.col("source_url").alias("url"), "title")
-    rows = chunks.select("document_id", "chunk_index", F.col("chunk_text").alias("text"), "embedding")
+    found = chunks if vectors is None else vectors
     if sources:
-        rows = rows.join(docs.where(F.col("source").isin(list(sources))), "document_id")
-        best = top_k(rows, query, k, ("document_id", "chunk_index"))
-    else:
-        # chunks without a document are no hits; ids alone are shuffled for that
-        rows = rows.join(docs.select("document_id"), "document_id", "left_semi")
-        best = top_k(rows, query, k, ("document_id", "chunk_index")).join(docs, "document_id")
-    return best.orderBy(F.desc("similarity"), "document_id", "chunk_index").select("source", "url", "title", "chunk_index", "text", "similarity")
+        own = F.col("source").isin(list(sources))
+        docs = docs.where(own)
+        # a chunk lies where its document does
+        found, chunks = (x.where(own) if "source" in x.columns else x for x in (found, chunks))
+    # chunks loaded twice have ids of their own
+    key = ["document_id", "chunk_index", *(["id"] if vectors is None and "id" in chunks.columns else [])]
+    near = found.where(F.col("embedding").isNotNull()).select(*key, V.cosine_to(F.col("embedding"), list(query)).alias("similarity"))
+    best = near.join(docs.select("document_id"), "document_id", "left_semi").orderBy(F.desc("similarity"), *key).limit(k)
+    hits = chunks.select(*key, F.col("chunk_text").alias("text")).join(F.broadcast(best), key)  # k rows
+    hits = docs.join(F.broadcast(hits), "document_id")
+    return hits.orderBy(F.desc("similarity"), *key).limit(k).withColumn("similarity", F.round("similarity", 4)).select("source", "url", "title", "chunk_index", "text", "similarity")
 
 
 def _matrix(column, width: int) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Document and chunk tables in a warehouse folder, loaded idempotently.
 
-Ids are hashes of what identifies a row, so that loading again gives the same ones. Both tables are partitioned by source. A load
+Ids of documents are hashes of their address, made again under another salt where two addresses have one; a chunk's key is its
+document and its index (its id, a hash of both, is for display). All tables are partitioned by source and sorted by document. A load
 writes chunks, documents and then its batch into a small table of commits; rows of other batches are not read, so what a
 broken load left is invisible and is written anew by the next one. One writer at a time is assumed.
 """
@@ -24,7 +25,7 @@ from .extract import clean_raw
 DOCUMENTS = "id long, source_name string, source_url string, title string, page_number int, lang string, doc_metadata string, raw_text string, created_at timestamp, batch string, source string"
 CHUNKS = "id long, document_id long, chunk_index int, chunk_text string, char_length int, token_count int, created_at timestamp, batch string, source string"
 COMMITS = "batch string"
-EMBEDDINGS = "chunk_id long, embedding array<float>, version string"
+EMBEDDINGS = "document_id long, chunk_index int, embedding array<float>, version string, source string"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -69,8 +70,8 @@ class Store:
     def embeddings(self, version: str) -> DataFrame:
         return self._read("embeddings", EMBEDDINGS).where(F.col("version") == version)
 
-    def append(self, name: str, df: DataFrame, by: str) -> None:
-        df.write.mode("append").partitionBy(by).parquet(f"{self.path}/{name}")
+    def append(self, name: str, df: DataFrame, *by: str) -> None:
+        df.write.mode("append").partitionBy(*by).parquet(f"{self.path}/{name}")
 
     def keep_version(self, version: str) -> None:
         """Vectors and models of other versions go."""
@@ -118,6 +119,24 @@ def with_chunk_count(meta, n):
     return F.when(F.get_json_object(m, "$.chunks").isNotNull(), m).otherwise(added)
 
 
+def with_ids(records: DataFrame, taken: DataFrame, hashed=F.xxhash64) -> DataFrame:
+    """records with `id`, different for each (source, source_url) and from the ids of `taken`.
+
+    Of addresses with one hash the least keeps it, the others are hashed again under the round's number, until none clash.
+    """
+    keys, done, rest, n = ["source", "source_url"], None, records.select("source", "source_url").distinct(), 0
+    while True:
+        own = rest.withColumn("id", hashed(*keys, F.lit(n)) if n else hashed(*keys))
+        first = own.groupBy("id").agg(F.min(F.struct(*keys)).alias("x")).select("id", "x.*")
+        used = taken.select("id") if done is None else taken.select("id").unionByName(done.select("id"))
+        free = materialize(first.join(used, "id", "left_anti"))
+        done = free if done is None else done.unionByName(free)
+        rest = rest.join(free.select(*keys), keys, "left_anti")
+        if not rest.limit(1).count():
+            return records.join(done, keys)
+        n += 1
+
+
 def load(store: Store, raw: DataFrame, config: Config | None = None) -> dict:
     """Adds what is new: {documents, chunks, langs, batch}. A second load of the same rows adds nothing."""
     candidates, records = prepare(raw, store.documents(), config)
@@ -127,8 +146,8 @@ def load(store: Store, raw: DataFrame, config: Config | None = None) -> dict:
     stats = {"documents": totals["d"], "chunks": totals["c"], "langs": langs, "batch": batch}
     if not totals["d"]:
         return stats
-    docs = records.select(
-        F.xxhash64("source", "source_url").alias("id"),
+    docs = with_ids(records, store.documents().select("id")).select(
+        "id",
         "source_name", "source_url", "title", "page_number", "lang",
         with_chunk_count(F.col("doc_metadata"), F.size("chunks")).alias("doc_metadata"),
         F.col("text").alias("raw_text"),
@@ -136,19 +155,16 @@ def load(store: Store, raw: DataFrame, config: Config | None = None) -> dict:
         F.lit(batch).alias("batch"),
         "source", "chunks",
     )
-    clash = docs.groupBy("id").count().where("count > 1").limit(1).count() or docs.join(store.documents().select("id"), "id", "left_semi").limit(1).count()
-    if clash:
-        raise RuntimeError("two addresses have one id")
     rows = docs.select("id", "source", F.inline("chunks"))
     store.append(
         "chunks",
         rows.select(
             F.xxhash64("id", "chunk_index").alias("id"), F.col("id").alias("document_id"), "chunk_index", "chunk_text", "char_length", "token_count",
             F.current_timestamp().alias("created_at"), F.lit(batch).alias("batch"), "source",
-        ),
+        ).sortWithinPartitions("source", "document_id", "chunk_index"),
         "source",
     )
-    store.append("documents", docs.drop("chunks"), "source")
+    store.append("documents", docs.drop("chunks").sortWithinPartitions("source", "id"), "source")
     store.commit(batch)
     return stats
 
@@ -163,4 +179,4 @@ def chunk_stats(chunk_rows: DataFrame) -> DataFrame:
     return chunk_rows.groupBy("document_id").agg(F.count("*").alias("chunks"), F.sum("token_count").alias("tokens"), F.sum("char_length").alias("characters"))
 
 
-__all__ = ["CHUNKS", "ChunkConfig", "DOCUMENTS", "Store", "chunk_stats", "load", "orphans", "prepare", "with_chunk_count"]
+__all__ = ["CHUNKS", "ChunkConfig", "DOCUMENTS", "Store", "chunk_stats", "load", "orphans", "prepare", "with_chunk_count", "with_ids"]

@@ -19,18 +19,18 @@ def embed_missing(store: Store, config: Config) -> str | None:
     be compared. A plugged-in backend embeds only chunks that have no vector yet.
     """
     e = config.embedding
-    rows = store.chunks().select(F.col("id").alias("chunk_id"), "chunk_text")
+    rows = store.chunks().select("document_id", "chunk_index", "source", "chunk_text")
     if not rows.limit(1).count():
         return None
-    if E.backend_name(e.backend) == "tfidf":
+    if E.backend_name(e.backend, e) == "tfidf":
         model = E.fit_lsa(rows, "chunk_text", e)
         model.save(store.spark, f"{store.path}/model/{model.version}")
         version, vector = model.version, model.embed(F.col("chunk_text"))
     else:
-        version = f"{E.backend_name(e.backend)}-{e.model_name}-{e.dim}-{e.normalize}"
-        rows = rows.join(store.embeddings(version).select("chunk_id"), "chunk_id", "left_anti")
+        version = f"{E.backend_name(e.backend, e)}-{e.model_name}-{e.dim}-{e.normalize}"
+        rows = rows.join(store.embeddings(version).select("document_id", "chunk_index"), ["document_id", "chunk_index"], "left_anti")
         vector = E.embed_with(F.col("chunk_text"), e)
-    store.append("embeddings", rows.select("chunk_id", vector.alias("embedding"), F.lit(version).alias("version")), "version")
+    store.append("embeddings", rows.select("document_id", "chunk_index", vector.alias("embedding"), F.lit(version).alias("version"), "source"), "version", "source")
     return version
 
 
@@ -47,7 +47,7 @@ def run(
     Without anything new the store and its model stay as they are. `recreate` empties the store first.
     """
     c = config or Config()
-    backend = E.backend_name(c.embedding.backend)
+    backend = E.backend_name(c.embedding.backend, c.embedding)
     store = Store(spark, c.warehouse)
     if recreate:
         store.drop()
@@ -73,5 +73,4 @@ def search(spark: SparkSession, query: str, k: int = 5, sites: list[str] | None
         vector = E.LsaModel.load(spark, f"{store.path}/model/{version}").embed_query(spark, query) if version else []
     else:
         vector = E.encode_checked(E.BACKENDS[state["backend"]](c.embedding), [query], c.embedding, True)[0].tolist()
-    rows = store.chunks().join(store.embeddings(version), F.col("id") == F.col("chunk_id"))
-    return search_chunks(store.documents(), rows, vector, k, sites)
+    return search_chunks(store.documents(), store.chunks(), vector, k, sites, store.embeddings(version))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,11 +15,14 @@ _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where that is unset (tests, local mode)."""
+    """spark.checkpoint.dir; a temporary folder only where that is unset and the session runs on this machine alone."""
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"executors of {master} need a folder that all of them share: set spark.checkpoint.dir")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="loomtext-")
         atexit.register(shutil.rmtree, _own_dir, True)

@@ -44,7 +44,7 @@ def test_query_and_sql(spark, small, name):
 
 def test_boilerplate_is_stripped_to_the_end(spark, tmp_path):
     spark.createDataFrame([(1, "文" * 1200 + "\n版权所有 某站\n尾")], "id long, raw_text string").write.parquet(f"{tmp_path}/site_documents.parquet")
-    assert catalog.queries()["strip_boilerplate_whole"](spark, str(tmp_path)).first()["text"] == "文" * 1200 + "\n尾"
+    assert catalog.queries()["strip_boilerplate"](spark, str(tmp_path)).first()["text"] == "文" * 1200 + "\n尾"
 
 
 def test_lsa_is_fitted_in_full(spark, small):

@@ -46,6 +46,35 @@ def test_max_features(spark):
     assert set(E.fit_lsa(df, config=EmbeddingConfig(dim=2, max_features=2)).vocabulary) == {"a", "b"}
 
 
+def test_term_weights_by_either_way(spark, monkeypatch):
+    import math
+
+    docs = {1: "a b b", 2: "a c", 3: "a", 4: "", 5: "病因 病"}
+    df = spark.createDataFrame([(i, t, "clash") for i, t in docs.items()] + [(6, None, "clash")], "id long, text string, term string")
+    got = {}
+    for most in (300_000, 0):
+        monkeypatch.setattr(E, "BROADCAST_TERMS", most)
+        monkeypatch.setattr(E, "FREQUENT", 2)
+        got[most] = {(r["id"], r["term"]): r["weight"] for r in E.term_weights(df, "id").collect()}
+    assert got[0].keys() == got[300_000].keys() and all(abs(got[0][k] - v) < 1e-12 for k, v in got[300_000].items())
+    idf = lambda n: math.log(7 / (1 + n)) + 1
+    a, b = idf(3), (1 + math.log(2)) * idf(1)
+    assert abs(got[0][1, "b"] - b / math.hypot(a, b)) < 1e-12 and got[0][3, "a"] == 1.0 and not any(i in (4, 6) for i, _ in got[0])
+    freq = {r["term"]: (r["df"], r["tf"]) for r in E.document_frequencies(df).collect()}
+    assert freq["a"] == (3, 3) and freq["b"] == (1, 2) and freq["病"] == (1, 2)
+
+
+def test_auto_takes_what_works(monkeypatch):
+    c = EmbeddingConfig(backend="auto", dim=2, options={"url": "x", "post": lambda body: {"data": [{"index": 0, "embedding": [1.0, 2.0, 3.0]}]}})
+    assert E.backend_name("auto", c) == "http" and E.learned_width(c) == 3
+
+    def refuse(body):
+        raise OSError("nobody there")
+
+    with pytest.warns(UserWarning):
+        assert E.backend_name("auto", EmbeddingConfig(backend="auto", options={"url": "x", "post": refuse})) == "tfidf"
+
+
 def test_backends(spark):
     assert E.backend_name("LSA") == E.backend_name("auto") == "tfidf" and E.backend_name("sbert") == "sentence-transformers"
     with pytest.raises(KeyError):

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,45 @@ def test_a_load_that_broke_off_is_loaded_again(spark, config):
     assert store.chunks().count() == got["chunks"] and store.documents().count() == got["documents"] == 3
 
 
+def test_clashing_ids(spark):
+    rows = spark.createDataFrame([("s", f"u{i}", i) for i in range(40)], "source string, source_url string, n int")
+    taken = spark.createDataFrame([(3,), (5,)], "id long")
+    few = lambda *c: F.pmod(F.xxhash64(*c), F.lit(61))
+    got = St.with_ids(rows, taken, few).collect()
+    assert len(got) == 40 == len({r["id"] for r in got}) and not {3, 5} & {r["id"] for r in got}
+    # without a clash the id is the address's hash
+    plain = St.with_ids(rows, taken).withColumn("h", F.xxhash64("source", "source_url")).where("id <> h").count()
+    assert plain == 0 and St.with_ids(rows.where("false"), taken).count() == 0
+
+
+def test_search_reads_what_it_needs(spark, config, capsys):
+    from loomtext.operators.search import search_chunks
+
+    pipeline.run(spark, raw(spark, ROWS), config=config)
+    store = St.Store(spark, config.warehouse)
+    vectors = store.embeddings(store.state()["version"])
+    df = search_chunks(store.documents(), store.chunks(), [1.0] * 8, 2, ["a"], vectors)
+    assert df.count() == 2 and {r["source"] for r in df.collect()} == {"a"}
+    capsys.readouterr()
+    df.explain("formatted")
+    parts = capsys.readouterr().out.split("\n\n")
+    scans = [x for x in parts if "ReadSchema" in x and "embedding:array" in x]
+    assert scans and all("source" in next(y for y in x.split("\n") if "PartitionFilters" in y) for x in scans)
+    # neither texts nor vectors are shuffled
+    assert not any(") Exchange" in x and ("chunk_text" in x or "embedding" in x) for x in parts)
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    from loomtext import scratch
+
+    class Elsewhere:
+        conf = type("c", (), {"get": staticmethod(lambda name, default=None: default)})
+        sparkContext = type("s", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError):
+        scratch.shared_dir(Elsewhere)
+
+
 def test_run_and_search(spark, config):
     out = pipeline.run(spark, raw(spark, ROWS), config=config)
     assert out["documents"] == 3 and out["embedding"] == "tfidf"
@@ -106,4 +146,5 @@ def test_settings(monkeypatch, tmp_path):
     monkeypatch.delenv("CHUNK_SIZE", raising=False)
     G.load_dotenv(tmp_path / ".env")
     assert G.ChunkConfig().size == 77 and G.EmbeddingConfig().dim == 5
-    monkeypatch.delenv("CHUNK_SIZE")
+    # set by the file, not by monkeypatch, which would put it back
+    os.environ.pop("CHUNK_SIZE")
