@@ -71,8 +71,28 @@ def test_text_lines_outside():
     assert M.outside_lines(M.text_lines(text), None, "题目") == [1, 2, 3] == M.outside_lines(M.text_lines(text), None, None)
 
 
-def test_best_region():
-    assert M.best_region([-1, 2, -1, 3, -5, 1]) == (1, 4) and M.best_region([]) == (0, 0) == M.best_region([-1.0])
+def test_regions():
+    assert M.regions([-1, 2, -1, 3, -5, 1]) == [(1, 4), (5, 6)] and M.regions([]) == [] == M.regions([-1.0])
+    assert M.regions([0.4, -1, 5, -0.1, 0.5, -9, 0.9, -9, 2]) == [(2, 5), (8, 9)]
+    # a run is as good as any run within it that could be cut shorter or drawn longer
+    rng = random.Random(13)
+    for _ in range(200):
+        x = [rng.choice((-2.0, -1.0, -0.5, 0.5, 1.0, 3.0)) for _ in range(rng.randrange(1, 12))]
+        got = M.regions(x, 0.0)
+        best = max(sum(x[a:b]) for a in range(len(x)) for b in range(a + 1, len(x) + 1))
+        assert (max((sum(x[a:b]) for a, b in got), default=0.0) == best) or best <= 0 and not got
+        assert all(b <= c for (_, b), (c, _) in zip(got, got[1:])) and all(x[a] > 0 and x[b - 1] > 0 for a, b in got)
+
+
+def test_lists_of_any_length_and_deep_pages():
+    items = [f"第{i}种病的病因" for i in range(1, 15)]
+    text = "\n".join(["题目", LONG, "大家都在看", *items, LONG])
+    assert M.outside_lines(M.text_lines(text), None, "题目") == list(range(3, 18))
+    # an end tag closes its element however many are open within it
+    deep = "<nav>" + "<i>" * 30 + "\n首页\n</nav>\n<p>" + LONG + "</p>\n"
+    assert M.shown_lines(deep)[-1][2] == ("leaf:p", "box:body")
+    long = "© 2020 某站，" + "版权所有，" * 80
+    assert M.notice_kind(long) == "notice"
 
 
 def test_boilerplate_rows(spark):
