@@ -176,17 +176,22 @@ def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_lines(site, repeated_lines(site))
 
 
-SQL = {
-    "p4_found": r"""
+_REPEATED = r"""
 WITH l AS (
   SELECT id, source, i AS line_no,
          regexp_replace(trim(regexp_replace(p[i], '[\s\p{Z}\x{85}\x{1c}-\x{1f}]+', ' ', 'g')), '[0-9]+', '0', 'g') AS line
   FROM (SELECT id, source, string_split(raw_text, chr(10)) AS p FROM site_documents WHERE raw_text IS NOT NULL),
        LATERAL unnest(range(1, len(p) + 1)) AS t(i)
 ), c AS (SELECT source, line, count(DISTINCT id) AS n FROM l WHERE line <> '' GROUP BY ALL),
-r AS (SELECT source, count(*) AS n_rows FROM site_documents WHERE raw_text IS NOT NULL GROUP BY ALL)
-SELECT l.id, CAST(l.line_no AS INTEGER) AS line_no
+r AS (SELECT source, count(*) AS n_rows FROM site_documents WHERE raw_text IS NOT NULL GROUP BY ALL),
+f AS (SELECT l.id, CAST(l.line_no AS INTEGER) AS line_no
 FROM l JOIN c ON l.source = c.source AND l.line = c.line JOIN r ON l.source = r.source
-WHERE c.n >= 5 AND c.n >= 0.1 * r.n_rows""",
+WHERE c.n >= 5 AND c.n >= 0.1 * r.n_rows)
+"""
+SQL = {
+    "p4_found": _REPEATED + "SELECT id, line_no FROM f",
+    "p4_clean": _REPEATED + """, g AS (SELECT id, list(line_no) AS gone FROM f GROUP BY id)
+SELECT d.id, array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: NOT list_contains(coalesce(gone, []), i)), lambda i: p[i]), chr(10)) AS text
+FROM (SELECT id, string_split(raw_text, chr(10)) AS p FROM site_documents) d LEFT JOIN g USING (id)""",
 }
 QUERIES = {"p4_found": p4_found, "p4_clean": p4_clean}
