@@ -172,6 +172,18 @@ def min_doc_filter(spark: SparkSession, d: str) -> DataFrame:
 _CJK = r"[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}]"
 
 
+def _sql_plain(x: str) -> str:
+    """Cleaned, without lines equal to the line before, cleaned again. The plain texts' references are the usual six."""
+    def unescaped(y: str) -> str:
+        for a, b in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
+            y = f"replace({y}, '{a}', {b})"
+        return _sql_clean(y)
+
+    lines = f"string_split({unescaped(x)}, chr(10))"
+    kept = f"array_to_string(list_transform(list_filter(range(1, len({lines}) + 1), lambda i: i = 1 OR ({lines})[i] <> ({lines})[i - 1]), lambda i: ({lines})[i]), chr(10))"
+    return unescaped(kept)
+
+
 def _sql_lang(x: str) -> str:
     head = f"left(coalesce({x}, ''), 2000)"
     return f"CASE WHEN {head} = '' THEN 'unknown' WHEN len(regexp_extract_all({head}, '{_CJK}')) / greatest(1, length(regexp_replace({head}, '{_S}+', '', 'g')))::DOUBLE > 0.2 THEN 'zh' ELSE 'en' END"
@@ -356,6 +368,7 @@ _SQL = {
   SELECT id, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n FROM chunks WHERE embedding IS NOT NULL), LATERAL unnest(range(1, len(e) + 1)) AS t(i)""",
     "fit_width": "SELECT id, len(e) AS width, round(list_sum(e), 6) AS total, round(e[64], 6) AS v63 FROM (SELECT id, list_resize(embedding::DOUBLE[], 70, 0.0::DOUBLE) AS e FROM chunks WHERE embedding IS NOT NULL)",
     "clean_text": f"SELECT doc_id, {_sql_clean('text')} AS text FROM documents",
+    "clean_plain": f"SELECT raw_id, {_sql_plain("coalesce(raw, '')")} AS text FROM raw_docs WHERE content_kind = 'text'",
     "dedupe_lines": "SELECT id, array_to_string(list_transform(list_filter(range(1, len(p) + 1), lambda i: i = 1 OR p[i] <> p[i - 1]), lambda i: p[i]), chr(10)) AS text FROM (SELECT id, string_split(raw_text, chr(10)) AS p FROM site_documents WHERE raw_text IS NOT NULL)",
     "strip_boilerplate": f"SELECT id, {_sql_boil('raw_text')} AS text FROM site_documents WHERE raw_text IS NOT NULL",
     "paragraphs": rf"""SELECT doc_id, len(p) AS n, array_to_string(p, '|') AS joined FROM (
