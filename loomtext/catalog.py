@@ -200,6 +200,32 @@ def _sql_boil(x: str) -> str:
     return _sql_clean(x)
 
 
+_MARKS = "。！？!?.;；"
+_W = r"[\s\p{Z}\x{85}\x{0b}\x{1c}-\x{1f}]"
+#: Sentences are tiles of the text; those of more than 512 tokens are cut at every 512th token. `ps` are the tokens before each span: a
+#: chunk takes as many spans as fit, and the next begins with as many of its last ones as the overlap allows.
+_CHUNKS = rf"""
+WITH RECURSIVE t AS (SELECT doc_id, text, regexp_extract_all(text, '[^{_MARKS}\n]*[{_MARKS}]{_W}*|[^{_MARKS}\n]+\n*|\n+') AS tiles FROM documents WHERE text <> ''),
+s AS (SELECT doc_id, i, list_sum(list_transform(tiles[1 : i - 1], lambda x: length(x)))::BIGINT AS begins,
+        regexp_extract(tiles[i], '^(?:[^{_MARKS}\n]*[{_MARKS}]|[^{_MARKS}\n]+)') AS sentence FROM t, LATERAL unnest(range(1, len(tiles) + 1)) AS u(i)),
+w AS (SELECT doc_id, i, coalesce(begins, 0) AS begins, length(sentence) AS size, regexp_extract_all(sentence, '{_W}*(?:{_TOKENS})') AS w FROM s WHERE sentence <> ''),
+c AS (SELECT doc_id, i, k, CASE WHEN k = 0 THEN begins ELSE begins + list_sum(list_transform(w[1 : k], lambda x: length(x))) + length(w[k + 1]) - length(regexp_replace(w[k + 1], '^{_W}+', '')) END AS a,
+        begins + size AS ends, least(512, len(w) - k) AS n FROM w, LATERAL unnest(range(0, len(w), 512)) AS u(k)),
+b AS (SELECT doc_id, i, k, a, n, coalesce(lead(a) OVER (PARTITION BY doc_id, i ORDER BY k), ends) AS z FROM c),
+p AS (SELECT doc_id, list(a ORDER BY i, k) AS st, list(z ORDER BY i, k) AS en, list(n ORDER BY i, k) AS n, count(*) AS m FROM b GROUP BY doc_id),
+q AS (SELECT doc_id, st, en, m, n, list_prepend(0, list_transform(range(1, m + 1), lambda j: list_sum(n[1 : j])::BIGINT)) AS ps FROM p),
+r AS (
+  SELECT doc_id, 0::BIGINT AS f, list_max(list_filter(range(1, m + 1), lambda j: ps[j + 1] <= 512)) AS e FROM q
+  UNION ALL
+  SELECT doc_id, f, list_max(list_filter(range(f + 1, m + 1), lambda j: ps[j + 1] - ps[f + 1] <= 512)) FROM (
+    SELECT q.doc_id, q.m, q.ps, CASE WHEN ps[e + 1] - ps[k + 1] + n[e + 1] > 512 THEN e ELSE k END AS f FROM (
+      SELECT r.doc_id AS id, r.e, list_min(list_filter(range(r.f + 1, r.e + 1), lambda j: x.ps[r.e + 1] - x.ps[j + 1] <= 100)) AS k FROM r JOIN q x ON x.doc_id = r.doc_id WHERE r.e < x.m) y
+    JOIN q ON q.doc_id = y.id)),
+o AS (SELECT r.doc_id, r.f, ps[r.e + 1] - ps[r.f + 1] AS n, regexp_replace(regexp_replace(substring(text, CAST(st[r.f + 1] + 1 AS BIGINT), CAST(en[r.e] - st[r.f + 1] AS BIGINT)), '^{_W}+', ''), '{_W}+$', '') AS chunk_text
+      FROM r JOIN q USING (doc_id) JOIN t USING (doc_id))
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY f) - 1 AS INTEGER) AS chunk_index, chunk_text, CAST(length(chunk_text) AS INTEGER) AS char_length, CAST(n AS INTEGER) AS token_count
+FROM o WHERE length(chunk_text) >= 80"""
+
 # ------------------------------------------------------------------ terms
 
 
@@ -401,6 +427,7 @@ replace(regexp_replace(regexp_replace(regexp_replace(source_url, '^[a-z][a-z0-9+
     "metadata_chunks": "SELECT d.id, CAST(coalesce(json_extract_string(d.doc_metadata, '$.chunks'), n::VARCHAR) AS BIGINT) AS chunks FROM site_documents d JOIN (SELECT document_id AS id, count(*) AS n FROM chunks GROUP BY 1) USING (id)",
     "chunk_orphans": "SELECT document_id, count(*) AS n FROM chunks c WHERE NOT EXISTS (SELECT 1 FROM site_documents d WHERE d.id = c.document_id AND d.raw_text IS NOT NULL) GROUP BY 1",
     "chunk_stats": "SELECT document_id, count(*) AS chunks, CAST(sum(token_count) AS BIGINT) AS tokens, CAST(sum(char_length) AS BIGINT) AS characters FROM chunks GROUP BY 1",
+    "chunk_documents": _CHUNKS,
     "chunk_totals": f"SELECT doc_id, len(regexp_extract_all(text, '{_TOKENS}')) AS n FROM documents WHERE len(regexp_extract_all(coalesce(text, ''), '{_TOKENS}')) > 0",
     "ingest_stats": f"WITH t AS (SELECT {_sql_clean('text')} AS t FROM documents) SELECT {_sql_lang('t')} AS lang, count(*) AS n FROM t WHERE length(t) >= 120 GROUP BY 1",
     "ingest_idempotent": f"SELECT count(*) AS first, 0::BIGINT AS second, 0::BIGINT AS second_chunks FROM documents WHERE length({_sql_clean('text')}) >= 120",
