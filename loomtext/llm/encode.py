@@ -173,14 +173,9 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(n_docs, n_equal, n_tokens): how many documents decode to their very text (null counts as empty)."""
-    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = common.materialize(encode_corpus(docs))
-    back = decode_ids(ids).select("doc_id", F.col("text").alias("back"))
-    same = docs.join(back, "doc_id").join(ids.select("doc_id", F.size("ids").alias("n")), "doc_id")
-    equal = (F.coalesce("text", F.lit("")) == F.col("back")).cast("long")
-    return same.agg(F.count("*").alias("n_docs"), F.sum(equal).alias("n_equal"), F.sum("n").cast("long").alias("n_tokens"))
+    """(doc_id, text): every document decoded from its ids, which has to be its very text (null counts as empty)."""
+    return decode_ids(p8_ids(spark, sf_dir))
 
 
 QUERIES = {"p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
-SQL = {}
+SQL = {"p8_roundtrip": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}

@@ -193,10 +193,22 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_oversized(long).where("piece = 1").select("tab", "rec_id")
 
 
+def p6_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tab, rec_id, fits, overlaps, text): whether all pieces of a text and their overlaps are within the limits, and the text that the pieces make up without what they share."""
+    pieces = p6_pieces(spark, sf_dir)
+    per = pieces.groupBy("tab", "rec_id").agg(F.max("n_tokens").alias("n"), F.max("n_shared").alias("shared"), F.sort_array(F.collect_list(F.struct("piece", "start", "end", "text"))).alias("p"))
+    # a piece's own part starts where its predecessor ends
+    own = F.transform("p", lambda x, i: F.when(i == 0, x["text"]).otherwise(F.substring(x["text"], F.get("p", i - 1)["end"] - x["start"] + 1, F.length(x["text"]))))
+    return per.select("tab", "rec_id", (F.col("n") <= LIMIT).alias("fits"), (F.col("shared") <= OVERLAP).alias("overlaps"), F.array_join(own, "").alias("text"))
+
+
 _COUNT = r"""len(regexp_extract_all({}, '[\x{{3400}}-\x{{9fff}}\x{{f900}}-\x{{faff}}]|[a-zA-Z0-9]+(?:[''’\-][a-zA-Z0-9]+)*|[^\s\p{{Z}}\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}]'))"""
 SQL = {
     "p6_found": f"""
 SELECT 'site_documents' AS tab, id AS rec_id FROM site_documents WHERE {_COUNT.format("raw_text")} > 512
-UNION ALL SELECT 'chunks', id FROM chunks WHERE {_COUNT.format("chunk_text")} > 512"""
+UNION ALL SELECT 'chunks', id FROM chunks WHERE {_COUNT.format("chunk_text")} > 512""",
+    "p6_rebuilt": """
+SELECT 'site_documents' AS tab, id AS rec_id, true AS fits, true AS overlaps, raw_text AS text FROM site_documents WHERE raw_text IS NOT NULL
+UNION ALL SELECT 'chunks', id, true, true, chunk_text FROM chunks WHERE chunk_text IS NOT NULL""",
 }
-QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces}
+QUERIES = {"p6_found": p6_found, "p6_pieces": p6_pieces, "p6_rebuilt": p6_rebuilt}
