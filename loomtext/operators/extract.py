@@ -18,10 +18,10 @@ from . import dom
 
 # Elements without prose, elements that make a paragraph, and the lengths that count as content.
 DROP_TAGS = (
-    "script style noscript template svg iframe form nav header footer aside button input select option datalist dialog "
-    "canvas video audio source picture-map figure figcaption menu ad ins"
-).split()
-BLOCK_TAGS = frozenset("p div li h1 h2 h3 h4 h5 h6 section article br blockquote tr td th ul ol".split())
+    "script", "style", "noscript", "template", "svg", "iframe", "form", "nav", "header", "footer", "aside", "button", "input", "select", "option", "datalist", "dialog",
+    "canvas", "video", "audio", "source", "picture-map", "figure", "figcaption", "menu", "ad", "ins",
+)
+BLOCK_TAGS = frozenset(("p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "br", "blockquote", "tr", "td", "th", "ul", "ol",))
 MAIN_SELECTORS = ("article", "main", "div[role=main]")
 MIN_MAIN, MIN_PARAGRAPH = 40, 24
 

@@ -156,8 +156,8 @@ SITES: dict[str, Site] = {
             link=r'href="(/w/[^"#?]+)"',
             skip=lambda x: "%3A" in x or ":" in x or "action=" in x,
             page=lambda x: urljoin("https://www.a-hospital.com", x),
-            fallback=tuple("/w/" + quote(t) for t in "糖尿病 高血压 冠心病 肺炎 肺结核 肝炎 胃癌 白血病 脑梗塞 贫血 肾病综合征 甲状腺功能亢进 类风湿性关节炎 哮喘 阑尾炎 前列腺增生".split()),
-            skip_titles=frozenset("首页 疾病 药品 症状 检查 手术 中医".split()),
+            fallback=tuple("/w/" + quote(t) for t in ("糖尿病", "高血压", "冠心病", "肺炎", "肺结核", "肝炎", "胃癌", "白血病", "脑梗塞", "贫血", "肾病综合征", "甲状腺功能亢进", "类风湿性关节炎", "哮喘", "阑尾炎", "前列腺增生",)),
+            skip_titles=frozenset(("首页", "疾病", "药品", "症状", "检查", "手术", "中医",)),
             spec=ExtractSpec(
                 main=("#bodyContent", "#mw-content-text", "#content"),
                 drop_tags=("script", "style", "noscript", "nav", "footer"),
@@ -172,7 +172,7 @@ SITES: dict[str, Site] = {
             base="https://jbk.39.net",
             index=("https://jbk.39.net/", "https://jbk.39.net/bw/", "https://jbk.39.net/azb/"),
             link=r'href="(?:https://jbk\.39\.net)?/([a-z]{2,12})/"',
-            skip=lambda x: x in frozenset("bw azb jiancha shoushu zicha zx jrsy yzjptc zc yw rxzs ask search news zt tag video club wiki jb m www hudongbaike taiji newarticle".split()),
+            skip=lambda x: x in frozenset(("bw", "azb", "jiancha", "shoushu", "zicha", "zx", "jrsy", "yzjptc", "zc", "yw", "rxzs", "ask", "search", "news", "zt", "tag", "video", "club", "wiki", "jb", "m", "www", "hudongbaike", "taiji", "newarticle",)),
             page=lambda x: f"https://jbk.39.net/{x}/",
             parts=("blby/", "zztz/", "yfhl/", "jzzn/"),
             attempts=2,
@@ -181,7 +181,7 @@ SITES: dict[str, Site] = {
                 main=(".list_left", "main", "article"),
                 drop_tags=("script", "style", "noscript", "nav"),
                 noise_box=".disease_box",
-                noise_heads=frozenset("相关文章 疾病用药 医院医生 用药经验 疾病自测 相关医学名词".split()),
+                noise_heads=frozenset(("相关文章", "疾病用药", "医院医生", "用药经验", "疾病自测", "相关医学名词",)),
                 title_separator=" ",
                 min_chars=400,
                 metadata=lambda url, title: {"disease_code": _slug(url), "organization": "39健康网"},
