@@ -364,10 +364,17 @@ def _compared(asked: DataFrame, one: DataFrame, k: int, floor: float) -> DataFra
     return best
 
 
-def _picked(one: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, unit vectors) of at most FITTED_ON rows, by a hash of their ids."""
-    t = one.orderBy(F.xxhash64("rec_id"), "rec_id").limit(FITTED_ON).select("rec_id", "vec").toArrow()
-    return t.column("rec_id").to_numpy(), _normed(_matrix(t.column("vec").combine_chunks())) if t.num_rows else np.zeros((0, WIDTH), np.float32)
+def _picked(one: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, unit vectors) of at most FITTED_ON of n rows, by a hash of their ids.
+
+    A threshold of the hash picks them where they lie; sorting all rows for it would send every task's first ones to a single task.
+    """
+    share = min(1.0, 1.05 * FITTED_ON / n)
+    hashed = F.pmod(F.xxhash64("rec_id"), F.lit(1 << 30))
+    t = one.where(hashed <= int(share * (1 << 30))).select("rec_id", hashed.alias("h"), "vec").toArrow().sort_by([("h", "ascending"), ("rec_id", "ascending")]).slice(0, FITTED_ON)
+    if not t.num_rows:
+        return np.zeros(0, np.int64), np.zeros((0, WIDTH), np.float32)
+    return t.column("rec_id").to_numpy(), _normed(_matrix(t.column("vec")))
 
 
 def _true_neighbours(one: DataFrame, ids: np.ndarray, q: np.ndarray, k: int, floor: float) -> list[tuple[int, int]]:
@@ -410,7 +417,7 @@ def _windowed(one: DataFrame, n: int, k: int, floor: float, orderings: int, reca
     reach = LEAST_MET // (2 * orderings)
     if 2 * reach * orderings >= n:
         return None
-    ids, sample = _picked(one)
+    ids, sample = _picked(one, n)
     laid = _laid(one, n, Curves(sample, orderings))
     pairs = _true_neighbours(one, ids[:PROBES], sample[:PROBES], k, floor)
     if pairs:
