@@ -14,6 +14,8 @@ from ..scratch import materialize
 
 #: Queries compared at a time: a block's matrix is what every task gets.
 QUERY_BLOCK = 4096
+#: More queries than this go in several calls: each block is a scan of its own, and its matrix is made on the driver.
+MOST_QUERIES = 64 * QUERY_BLOCK
 #: Rows that the index's cells are fitted on, cells, and rounds of fitting.
 INDEX_SAMPLE, INDEX_ROUNDS, SEED = 20_000, 12, 7
 
@@ -65,11 +67,15 @@ def top_k_batch(queries: DataFrame, df: DataFrame, k: int, width: int, query_id:
     """(query_id, rank, id, similarity): for every row of queries (query_id, embedding) the k most similar rows of df, exactly.
 
     Queries go out in blocks of a fixed number; each task multiplies its rows with a block and keeps k of its rows for each query, so
-    that what is shuffled is queries x tasks x k. Null embeddings are neither queries nor rows.
+    that what is shuffled is queries x tasks x k. Null embeddings are neither queries nor rows. More than MOST_QUERIES queries are
+    refused with a ValueError: ask in parts.
     """
     q = queries.where(F.col(embedding).isNotNull()).select(F.col(query_id).cast("long").alias("q"), F.col(embedding).cast("array<double>").alias("e"))
     rows = df.where(F.col(embedding).isNotNull()).select(F.col(row_id).cast("long").alias("i"), F.col(embedding).cast("array<double>").alias("e"))
-    blocks = -(-q.count() // block)
+    n_queries = q.count()
+    if n_queries > MOST_QUERIES:
+        raise ValueError(f"{n_queries} queries at once; ask for {MOST_QUERIES} at most")
+    blocks = -(-n_queries // block)
     found = []
     for n in range(blocks):
         t = q.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == n).orderBy("q").toArrow()

@@ -108,3 +108,13 @@ def test_term_weights_have_unit_rows(spark):
     df = spark.createDataFrame([(1, "病因 a a"), (2, "b"), (3, ""), (4, None)], "id int, text string")
     w = E.term_weights(df, "id").groupBy("id").agg(F.sum(F.col("weight") ** 2).alias("n")).collect()
     assert {r["id"] for r in w} == {1, 2} and all(abs(r["n"] - 1) < 1e-9 for r in w)
+
+
+def test_too_many_queries_are_refused(spark, monkeypatch):
+    from loomtext.operators import search as Q
+
+    monkeypatch.setattr(Q, "MOST_QUERIES", 2)
+    rows = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        Q.top_k_batch(rows.withColumnRenamed("id", "query_id"), rows, 1, 2)
+    assert Q.top_k_batch(rows.where("id < 2").withColumnRenamed("id", "query_id"), rows, 1, 2).count() == 2
