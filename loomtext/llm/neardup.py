@@ -150,6 +150,14 @@ def _checked(part: dict) -> dict:
     return {"t": part["t"], "a": part["a"], "b": part["b"], "sim": sims}
 
 
+def _grows(df: DataFrame) -> DataFrame:
+    """df as a side of a join by sorting both sides, for tables of as many rows as the input has, or as it has edges.
+
+    Spark would judge a scratch table by its compressed files, far less than its rows take, and send it through the driver whole.
+    """
+    return df.hint("merge")
+
+
 def _salted(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges with a part number, (t, a, parts) of the centres whose edges fill more than one part)."""
     busy = edges.groupBy("t", "a").agg(F.ceil(F.count("*") / EDGES_A_TASK).cast("int").alias("parts")).where("parts > 1")
@@ -163,13 +171,13 @@ def _with(edges: DataFrame, of: DataFrame, col: str) -> DataFrame:
     ends = [of.select("t", F.col("rec_id").alias(x), F.col(col).alias(f"{col}_{x}")) for x in "ab"]
     parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
     centres = ends[0].join(busy, ["t", "a"], "left").withColumn("part", F.explode(parts)).drop("parts")
-    return edges.join(centres, ["t", "a", "part"]).join(ends[1], ["t", "b"]).drop("part")
+    return edges.join(_grows(centres), ["t", "a", "part"]).join(_grows(ends[1]), ["t", "b"]).drop("part")
 
 
 def _exact(edges: DataFrame, bodies: DataFrame) -> DataFrame:
     """(t, a, b, sim) of edges, sim exact. Only the contents that edges name are shuffled to them."""
     named = edges.select("t", F.explode(F.array("a", "b")).alias("rec_id")).distinct()
-    own = common.materialize(bodies.join(named, ["t", "rec_id"], "left_semi").dropDuplicates(["t", "rec_id"]))
+    own = common.materialize(bodies.join(_grows(named), ["t", "rec_id"], "left_semi").dropDuplicates(["t", "rec_id"]))
     return common.map_batches(_with(edges, own, "body"), _checked, "t int, a long, b long, sim double", rows=1000, text="body_a")
 
 
@@ -183,11 +191,11 @@ class Stars:
         # a class's copies are folded before the shuffle where they meet in one task
         reps = rows.groupBy("tab", "key").agg(F.min("rec_id").alias("rep"))
         #: (tab, rec_id, rep) of every row.
-        self.members = common.materialize(rows.select("tab", "rec_id", "key").join(reps, ["tab", "key"]).select("tab", "rec_id", "rep").distinct())
+        self.members = common.materialize(rows.select("tab", "rec_id", "key").join(_grows(reps), ["tab", "key"]).select("tab", "rec_id", "rep").distinct())
         own = self.members.where("rec_id = rep").select("tab", "rec_id")
         # tables are few; a number is less to shuffle than a name
         self.tabs = sorted(r["tab"] for r in self.members.select("tab").distinct().collect())
-        nodes = rows.where(F.length("body") > 0).select("tab", "rec_id", "bands", "sketch").join(own, ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
+        nodes = rows.where(F.length("body") > 0).select("tab", "rec_id", "bands", "sketch").join(_grows(own), ["tab", "rec_id"], "left_semi").dropDuplicates(["tab", "rec_id"])
         nodes = common.materialize(nodes.select(self._number().alias("t"), "rec_id", "bands", "sketch"))
         keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.conv(F.hex(F.substr("bands", i * 5 + 1, F.lit(5))), 16, 10).cast("long"))
         #: (t, rec_id, sketch) of the representatives that have letters or digits, and (t, rec_id, body) of all rows.
@@ -202,7 +210,7 @@ class Stars:
 
     def likely(self, edges: DataFrame) -> DataFrame:
         """(t, a, b, likely). Both ends meet their sketches in one join; edges are fewer than rows."""
-        ends = edges.select("t", "a", "b", F.explode(F.array("a", "b")).alias("rec_id")).join(self.nodes, ["t", "rec_id"])
+        ends = edges.select("t", "a", "b", F.explode(F.array("a", "b")).alias("rec_id")).join(_grows(self.nodes), ["t", "rec_id"])
         # a is the lesser end
         pairs = ends.groupBy("t", "a", "b").agg(F.min_by("sketch", "rec_id").alias("sketch_a"), F.max_by("sketch", "rec_id").alias("sketch_b"))
         return common.map_batches(pairs, _near, "t int, a long, b long, likely boolean", rows=20_000)
@@ -220,19 +228,19 @@ class Stars:
             else:
                 w = Window.partitionBy("t", "bucket").orderBy("rec_id")
                 centres = held.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).select("t", "bucket", F.col("rec_id").alias("a"))
-            stars = common.materialize(held.join(centres, ["t", "bucket"]).where("rec_id > a").select("t", "bucket", "a", F.col("rec_id").alias("b")))
+            stars = common.materialize(held.join(_grows(centres), ["t", "bucket"]).where("rec_id > a").select("t", "bucket", "a", F.col("rec_id").alias("b")))
             written.append(stars)
             if checked is not None and not stars.limit(1).count():
                 break
             rounds += 1
             edges = stars.select("t", "a", "b").distinct()
             if checked is not None:
-                edges = edges.join(checked, ["t", "a", "b"], "left_anti")
+                edges = edges.join(_grows(checked), ["t", "a", "b"], "left_anti")
             fresh = common.materialize(self.likely(edges))
             checked = fresh if checked is None else checked.unionByName(fresh)
-            tied = stars.join(checked, ["t", "a", "b"]).groupBy("t", "bucket", F.col("b").alias("rec_id")).agg(F.bool_or("likely").alias("tied"))
+            tied = stars.join(_grows(checked), ["t", "a", "b"]).groupBy("t", "bucket", F.col("b").alias("rec_id")).agg(F.bool_or("likely").alias("tied"))
             # every row but the last centre has an edge to one, so the bucket's last centres are among the tails of edges
-            held = tied.where("NOT tied").select("t", "bucket", "rec_id").join(stars.select("t", "bucket", F.col("a").alias("rec_id")), ["t", "bucket", "rec_id"], "left_anti")
+            held = tied.where("NOT tied").select("t", "bucket", "rec_id").join(_grows(stars.select("t", "bucket", F.col("a").alias("rec_id"))), ["t", "bucket", "rec_id"], "left_anti")
             held = common.materialize(held)
             written += [fresh, held]
             n *= GROWTH
@@ -251,8 +259,8 @@ class Stars:
         right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
         # the similarity of two ends differs from a common neighbour's by no more than one of them falls short of it
         able = (F.abs(F.col("sim_a") - F.col("sim_b")) <= 1 - threshold + 1e-9) & (F.col("sim_a") + F.col("sim_b") > 0)
-        paths = left.join(right, ["t", "mid", "part"]).where((F.col("a") < F.col("b")) & able).select("t", "a", "b").distinct()
-        more = common.materialize(paths.join(self.edges.select("t", "a", "b"), ["t", "a", "b"], "left_anti"))
+        paths = left.join(_grows(right), ["t", "mid", "part"]).where((F.col("a") < F.col("b")) & able).select("t", "a", "b").distinct()
+        more = common.materialize(paths.join(_grows(self.edges.select("t", "a", "b")), ["t", "a", "b"], "left_anti"))
         more = common.materialize(self.likely(more).where("likely").select("t", "a", "b"))
         links = self.edges.unionByName(_exact(more, self.bodies)).where(F.col("sim") >= threshold)
         return common.materialize(links).select(self.name().alias("tab"), "a", "b", "sim")
@@ -262,7 +270,7 @@ class Stars:
         edges = self.edges.where(F.col("sim") >= threshold).select("t", "a", "b")
         least = common.materialize(connected(edges))
         cls = least.select(self.name().alias("tab"), F.col("rec_id").alias("rep"), "class_id")
-        return self.members.join(cls, ["tab", "rep"], "left").select("tab", "rec_id", "rep", F.coalesce("class_id", "rep").alias("class_id"))
+        return self.members.join(_grows(cls), ["tab", "rep"], "left").select("tab", "rec_id", "rep", F.coalesce("class_id", "rep").alias("class_id"))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -274,11 +282,11 @@ def connected(edges: DataFrame) -> DataFrame:
     to = common.materialize(both.groupBy("t", "x").agg(F.least(F.col("x"), F.min("y")).alias("c")))
     while True:
         # the least of what the neighbours point to
-        near = both.join(to.select("t", F.col("x").alias("y"), F.col("c").alias("cy")), ["t", "y"]).groupBy("t", "x").agg(F.min("cy").alias("m"))
-        low = to.join(near, ["t", "x"]).select("t", "x", F.least("c", "m").alias("c"), F.col("c").alias("was"))
+        near = both.join(_grows(to.select("t", F.col("x").alias("y"), F.col("c").alias("cy"))), ["t", "y"]).groupBy("t", "x").agg(F.min("cy").alias("m"))
+        low = to.join(_grows(near), ["t", "x"]).select("t", "x", F.least("c", "m").alias("c"), F.col("c").alias("was"))
         # and what a node's own target points to
         jump = to.select("t", F.col("x").alias("c"), F.col("c").alias("cc"))
-        new = common.materialize(low.join(jump, ["t", "c"], "left").select("t", "x", F.least("c", F.coalesce("cc", "c")).alias("c"), "was"))
+        new = common.materialize(low.join(_grows(jump), ["t", "c"], "left").select("t", "x", F.least("c", F.coalesce("cc", "c")).alias("c"), "was"))
         changed = new.where("c <> was").limit(1).count()
         common.drop(to)
         to = new.drop("was")
@@ -312,9 +320,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, links = near_duplicates(common.texts(spark, sf_dir).where(F.col("text").rlike(r"(?U)\S")))
     a = members.select("tab", F.col("rep").alias("a"), F.col("rec_id").alias("x"))
     b = members.select("tab", F.col("rep").alias("b"), F.col("rec_id").alias("y"))
-    across = links.join(a, ["tab", "a"]).join(b, ["tab", "b"]).select("tab", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    across = links.join(_grows(a), ["tab", "a"]).join(_grows(b), ["tab", "b"]).select("tab", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     copied = members.where("rec_id <> rep").select("tab", F.col("rep").alias("a")).distinct()
-    same = a.join(copied, ["tab", "a"], "left_semi").join(b.withColumnRenamed("b", "a"), ["tab", "a"]).where("x < y").select("tab", F.col("x").alias("id_a"), F.col("y").alias("id_b"))
+    same = a.join(_grows(copied), ["tab", "a"], "left_semi").join(_grows(b.withColumnRenamed("b", "a")), ["tab", "a"]).where("x < y").select("tab", F.col("x").alias("id_a"), F.col("y").alias("id_b"))
     return across.unionByName(same)
 
 

@@ -184,6 +184,55 @@ def test_connected(spark):
     assert got == {(1, i): 0 for i in range(41)} | {(1, 100): 100, (1, 200): 100, (2, 5): 5, (2, 7): 5}
 
 
+def broadcast_rows(spark, run):
+    """Rows that every broadcast of the queries in run() had."""
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def items(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    bus.waitUntilEmpty(30_000)
+    before = {e.executionId() for e in items(store.executionsList())}
+    run()
+    bus.waitUntilEmpty(30_000)
+    out = []
+    for e in items(store.executionsList()):
+        if e.executionId() in before:
+            continue
+        values = store.executionMetrics(e.executionId())
+        for node in items(store.planGraph(e.executionId()).allNodes()):
+            if node.name().startswith("BroadcastExchange"):
+                got = [values.get(m.accumulatorId()) for m in items(node.metrics()) if m.name() == "number of output rows"]
+                out += [int(x.get().replace(",", "")) for x in got if x.isDefined()]
+    return out
+
+
+def test_growing_tables_are_not_broadcast(spark):
+    # scratch tables are small as files: their rows would pass through the driver, however many they are
+    rng = random.Random(13)
+    rows = []
+    for g in range(200):
+        base = sentence(rng, 120)
+        rows += [(10 * g, base), (10 * g + 1, base), (10 * g + 2, base[:60] + "新" + base[60:]), (10 * g + 3, base[:90] + "旧" + base[90:])]
+    got = {}
+
+    def run():
+        members, links = N.near_duplicates(frame(spark, rows))
+        got["pairs"] = pairs(members, links)
+        got["classes"] = N.version_classes(frame(spark, rows)).collect()
+
+    sent = broadcast_rows(spark, run)
+    assert got["pairs"] == brute(rows) and all(r["class_id"] == r["rec_id"] // 10 * 10 for r in got["classes"])
+    assert max(sent, default=0) <= len(rows) // 100
+
+
+def test_pairs_are_unfolded_without_broadcasts(spark, small):
+    # what the query joins after the classes: members and links
+    sent = broadcast_rows(spark, lambda: N.p1_found(spark, small).collect())
+    assert max(sent, default=0) <= 1
+
+
 def test_signatures_estimate_similarity():
     rng = random.Random(10)
     a = sentence(rng, 600)
