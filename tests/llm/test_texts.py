@@ -84,6 +84,24 @@ def test_regions():
         assert all(b <= c for (_, b), (c, _) in zip(got, got[1:])) and all(x[a] > 0 and x[b - 1] > 0 for a, b in got)
 
 
+def test_regions_decide_where_tags_tell_nothing():
+    w = M.TagWeights(collections.Counter({"leaf:a": 300, "box:nav": 300}), collections.Counter({"leaf:p": 300, "box:main": 300}))
+    link, unknown, own = ("leaf:a", "box:nav"), ("leaf:x", "box:y"), ("leaf:p", "box:main")
+    plain = [(1, "甲乙丙", link), (2, "专题", unknown), (3, "丁戊己", link), (4, "题目", unknown), (5, LONG, own), (6, "小节", unknown), (7, LONG, own), (8, "庚辛壬", link)]
+    # 2 lies in a box; 4 and 6 border on the article
+    assert M.outside_lines(plain, w, None) == [1, 2, 3, 8]
+    # the article's tags and its title hold out between boxes, unknown words don't
+    for tags, title, want in ((own, None, [1, 3]), (unknown, "专题", [1, 3]), (unknown, None, [1, 2, 3])):
+        assert M.outside_lines([(1, "甲乙丙", link), (2, "专题", tags), (3, "丁戊己", link)], w, title) == want
+    # boilerplate by its words weighs what its tags say
+    notices = [(1, "版权所有", link), (2, "专题", unknown), (3, "版权所有", link)]
+    assert M.outside_lines(notices, w, None) == [1, 2, 3]
+    # a sentence that outweighs the lines around it stays
+    assert M.outside_lines([(1, "版权所有", ()), (2, LONG, ()), (3, "版权所有", ())], None, None) == [1, 3]
+    assert M.boxes([], []) == set() and M.boxes([-2.0, 1.0, -2.0], []) == {0, 1, 2} and M.boxes([-2.0, 1.0, -2.0], [1]) == {0, 2}
+    assert M.boxes([-2.0, 3.0, -2.0], []) == {0, 2}
+
+
 def test_lists_of_any_length_and_deep_pages():
     items = [f"第{i}种病的病因" for i in range(1, 15)]
     text = "\n".join(["题目", LONG, "大家都在看", *items, LONG])
