@@ -331,8 +331,8 @@ def _lsa(spark: SparkSession, d: str) -> tuple[E.LsaModel, DataFrame]:
 
 
 def lsa_embed(spark: SparkSession, d: str) -> DataFrame:
-    model, rows = _lsa(spark, d)
-    return rows.select("id", model.embed(F.col("chunk_text")).alias("embedding"))
+    model, packed = E.fit_packed(_t(spark, d, "chunks"), "chunk_text", EmbeddingConfig(), keep=("id",))
+    return model.embed_packed(packed)
 
 
 def lsa_search(spark: SparkSession, d: str) -> DataFrame:

@@ -1,9 +1,8 @@
 """Embeddings: a TF-IDF and latent-space model fitted in Spark, and a registry for other backends.
 
 Term weights are (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), rows at unit length. The latent space is a randomized singular value
-decomposition (Halko, Martinsson and Tropp 2011) with power iterations: partitions multiply their rows with the current
-basis and sum up what comes back by term, so that only a matrix of features x components ever meets the driver; both factors
-are parameters. The model is JSON and Parquet, never a pickle.
+decomposition (Halko, Martinsson and Tropp 2011) with power iterations, whose basis lies in the shared folder (`latent`). What meets
+the driver are the vocabulary and matrices of components x components. The model is JSON and Parquet, never a pickle.
 """
 
 from __future__ import annotations
@@ -23,18 +22,21 @@ from pyspark.sql.functions import arrow_udf
 
 from ..config import EmbeddingConfig
 from ..functions import text as T
-from ..scratch import materialize
+from ..scratch import drop, folder, materialize
+from . import latent as L
 
 OVERSAMPLE, POWER_ITERATIONS, SEED = 10, 5, 42
 #: Terms whose idf is broadcast in any case (some 20 MB), and beyond that: those that one row in so many has.
 BROADCAST_TERMS, FREQUENT = 300_000, 1000
+#: Rows whose terms are counted at a time.
+COUNTED_ROWS = 2048
 
 
 def _counted(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """(keep..., terms, tfs): each row's distinct terms and how often it has them. No shuffle: a document is one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(a, COUNTED_ROWS) for whole in batches for a in range(0, whole.num_rows, COUNTED_ROWS)):
             lists = batch.column("_terms")
             flat = lists.flatten().dictionary_encode()
             row = np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
@@ -79,70 +81,100 @@ def term_weights(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return w.join(norms, "_row").select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def _runs(d: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(value, from, to) of the runs of equal values."""
-    cuts = [0, *(np.flatnonzero(np.diff(d)) + 1).tolist(), len(d)]
-    return ((int(d[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:]) if a < b)
+def _entries(lists: pa.Array, tfs: pa.Array | None, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, count) of the known terms of lists, ascending. Without tfs each occurrence counts."""
+    flat = lists.flatten().cast(pa.string()).dictionary_encode()
+    row = np.repeat(np.arange(len(lists)), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+    known = np.asarray(pc.fill_null(pc.index_in(flat.dictionary, value_set=vocabulary), -1)).astype(np.int64)
+    column = known[np.asarray(flat.indices)] if len(known) else np.zeros(0, np.int64)
+    keep = column >= 0
+    n = max(1, len(vocabulary))
+    pair = row[keep] * n + column[keep]
+    if tfs is None:
+        pair, tf = np.unique(pair, return_counts=True)
+    else:
+        order = np.argsort(pair)
+        pair, tf = pair[order], np.asarray(tfs.flatten())[keep][order]
+    return pair // n, pair % n, tf
 
 
 @dataclass
 class LsaModel:
-    """Vocabulary (term to column), idf by column, components (features x k); `version` names the space its vectors live in."""
+    """Vocabulary (term to column), idf by column, blocks of the components (features x k); `version` names the space its vectors live in.
+
+    Columns go from frequent terms to rare ones. The components lie in the shared folder, `dense` of their rows belong to terms that are many rows' own.
+    """
 
     vocabulary: dict[str, int]
     idf: np.ndarray
-    components: np.ndarray
+    blocks: L.Blocks
     dim: int
     normalize: bool = True
     version: str = ""
+    dense: int = 0
+
+    @property
+    def components(self) -> np.ndarray:
+        """All of them at once; nothing here needs that."""
+        return self.blocks.whole() if self.blocks.rows else np.zeros((0, self.blocks.columns))
 
     def rows(self, lists: list[list[str] | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, column, weight) of the known terms, rows at unit length."""
-        doc, col = [], []
-        for i, ts in enumerate(lists):
-            for t in ts or ():
-                c = self.vocabulary.get(t)
-                if c is not None:
-                    doc.append(i)
-                    col.append(c)
-        if not doc:
-            none = np.zeros(0, np.int64)
-            return none, none, np.zeros(0)
-        d, c = np.array(doc), np.array(col)
-        pair, tf = np.unique(d * len(self.idf) + c, return_counts=True)
-        d, c = pair // len(self.idf), pair % len(self.idf)
-        w = (1 + np.log(tf)) * self.idf[c]
-        norm = np.sqrt(np.bincount(d, w * w, len(lists)))
-        return d, c, w / norm[d]
-
-    def vectors(self, lists: list[list[str] | None]) -> np.ndarray:
-        d, c, w = self.rows(lists)
-        k = self.components.shape[1]
-        out = np.zeros((len(lists), self.dim), np.float32)
-        if len(d):
-            m = min(k, self.dim)
-            # document by document: all rows of components that a batch needs at once are too much
-            for i, a, b in _runs(d):
-                out[i, :m] = (w[a:b] @ self.components[c[a:b]])[:m]
+        d, c, tf = _entries(pa.array(lists, pa.list_(pa.string())), None, pa.array(list(self.vocabulary), pa.string()))
+        return d, c, L.weights(d, c, tf, self.idf, len(lists))
+
+    def _finished(self, y: np.ndarray) -> np.ndarray:
+        m = min(y.shape[1], self.dim)
+        out = np.zeros((len(y), self.dim), np.float32)
+        out[:, :m] = y[:, :m]
         if self.normalize:
             n = np.linalg.norm(out, axis=1, keepdims=True)
             n[n == 0] = 1.0
             out /= n
         return out
 
+    def vectors(self, lists: pa.Array) -> np.ndarray:
+        known, out = pa.array(list(self.vocabulary), pa.string()), []
+        for a in range(0, len(lists), L.ROWS):
+            part = lists[a : a + L.ROWS]
+            d, c, tf = _entries(part, None, known)
+            out.append(self._finished(L.products(d, c, L.weights(d, c, tf, self.idf, len(part)), len(part), self.blocks, self.dense)))
+        return np.concatenate(out) if out else np.zeros((0, self.dim), np.float32)
+
     def save(self, spark: SparkSession, path: str) -> None:
-        terms = sorted(self.vocabulary, key=self.vocabulary.get)
-        rows = [(t, i, float(self.idf[i]), self.components[i].tolist()) for i, t in enumerate(terms)]
-        spark.createDataFrame(rows, "term string, column int, idf double, component array<double>").write.mode("overwrite").parquet(f"{path}/terms")
-        meta = {"backend": "tfidf", "dim": self.dim, "normalize": self.normalize, "version": self.version, "components": int(self.components.shape[1])}
+        q, terms, idf = self.blocks, list(self.vocabulary), self.idf
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in batch.column(0).to_pylist():
+                    a, b = q.slabs[i]
+                    x = q.slab(i)
+                    component = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, q.columns), pa.int32()), pa.array(x.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array(terms[a:b]), pa.array(np.arange(a, b), pa.int32()), pa.array(idf[a:b]), component], ["term", "column", "idf", "component"])
+
+        n = len(q.slabs)
+        spark.range(0, n, 1, max(1, n)).mapInArrow(run, "term string, column int, idf double, component array<float>").write.mode("overwrite").parquet(f"{path}/terms")
+        meta = {"backend": "tfidf", "dim": self.dim, "normalize": self.normalize, "version": self.version, "components": q.columns, "dense": self.dense}
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> LsaModel:
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        t = spark.read.parquet(f"{path}/terms").orderBy("column").toArrow()
-        comp = np.array(t.column("component").to_pylist(), float).reshape(t.num_rows, meta["components"])
-        return cls(dict(zip(t.column("term").to_pylist(), range(t.num_rows))), t.column("idf").to_numpy(), comp, meta["dim"], meta["normalize"], meta["version"])
+        table = spark.read.parquet(f"{path}/terms")
+        t = table.select("term", "column", "idf").orderBy("column").toArrow()
+        q = L.Blocks(folder(spark), t.num_rows, meta["components"])
+
+        def put(t: pa.Table) -> pa.Table:
+            t = t.sort_by("column")
+            x = np.asarray(t.column("component").combine_chunks().flatten(), np.float32).reshape(-1, q.columns)
+            slab = t.column("column")[0].as_py() // q.height
+            for j, (a, b) in enumerate(q.parts):
+                q.write(slab, j, x[:, a:b])
+            return pa.table({"slab": pa.array([slab], pa.int32())})
+
+        slab = F.floor(F.col("column") / q.height).alias("slab")
+        table.select("column", "component").groupBy(slab).applyInArrow(put, "slab int").collect()
+        return cls(dict(zip(t.column("term").to_pylist(), range(t.num_rows))), t.column("idf").to_numpy(), q, meta["dim"], meta["normalize"], meta["version"], meta.get("dense", 0))
 
     def embed(self, text: Column) -> Column:
         """Vectors of a text column; null and unknown texts give zeros."""
@@ -150,80 +182,73 @@ class LsaModel:
 
         @arrow_udf("array<float>")
         def run(x: pa.Array) -> pa.Array:
-            v = model.vectors(x.to_pylist())
-            return pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, model.dim), pa.int32()), pa.array(v.ravel()))
+            return _lists(model.vectors(x))
 
         return run(T.terms(F.coalesce(text, F.lit(""))))
 
+    def embed_packed(self, packed: DataFrame) -> DataFrame:
+        """(kept columns, embedding) of the rows that fit_packed gave beside the model; texts aren't read again."""
+        model, keep = self, [c for c in packed.columns if c not in L.PACKED_NAMES]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for d, c, w, n, kept in L.grouped(batches, model.idf, keep):
+                y = model._finished(L.products(d, c, w, n, model.blocks, model.dense))
+                for a in range(0, n, 1024):
+                    yield pa.RecordBatch.from_arrays([*(x[a : a + 1024] for x in kept), _lists(y[a : a + 1024])], [*keep, "embedding"])
+
+        kinds = "".join(f"`{c}` {packed.schema[c].dataType.elementType.simpleString()}, " for c in keep)
+        return packed.mapInArrow(run, f"{kinds}embedding array<float>")
+
     def embed_query(self, spark: SparkSession, text: str) -> list[float]:
         row = spark.createDataFrame([(text,)], "t string").select(T.terms(F.col("t"))).first()
-        return self.vectors([row[0]])[0].tolist()
+        return self.vectors(pa.array([row[0]], pa.list_(pa.string())))[0].tolist()
+
+
+def _lists(v: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, v.shape[1]), pa.int32()), pa.array(v.ravel()))
 
 
 def fit_lsa(df: DataFrame, text: str = "text", config: EmbeddingConfig | None = None, power_iterations: int = POWER_ITERATIONS) -> LsaModel:
     """A model of df's texts: the max_features most frequent terms (ties by the term), min(components or dim, rows - 1, features - 1) components, one at least."""
+    model, packed = fit_packed(df, text, config, power_iterations)
+    drop(packed)
+    return model
+
+
+def fit_packed(df: DataFrame, text: str = "text", config: EmbeddingConfig | None = None, power_iterations: int = POWER_ITERATIONS, keep: tuple[str, ...] = ()) -> tuple[LsaModel, DataFrame]:
+    """fit_lsa's model, and the rows of text as term counts with the columns to keep, for embed_packed. Texts are read once."""
     c = config or EmbeddingConfig()
-    docs = materialize(df.where(F.col(text).isNotNull()).select(T.terms(F.col(text)).alias("terms")))
-    n = docs.count()
-    freq = document_frequencies(df, text)
-    vocab = freq.orderBy(F.desc("tf"), "term").limit(c.max_features).toArrow()
+    spark = df.sparkSession
+    counted = materialize(_counted(df, text, *keep))
+    n = counted.count()
+    vocab = _frequencies(counted).orderBy(F.desc("tf"), "term").limit(c.max_features).toArrow()
     terms = vocab.column("term").to_pylist()
-    order = np.argsort(np.array(terms, dtype=object), kind="stable") if terms else np.zeros(0, int)
-    dfs = vocab.column("df").to_numpy()[order] if terms else np.zeros(0)
-    idf = np.log((1 + n) / (1 + dfs)) + 1
-    k = max(1, min(c.components or c.dim, n - 1, len(terms) - 1))
-    model = LsaModel({terms[i]: j for j, i in enumerate(order)}, idf, np.zeros((0, k)), c.dim, c.normalize, f"lsa-{int(time.time() * 1000):x}")
-    if not terms:
-        return model
     m = len(terms)
-    rng = np.random.default_rng(SEED)
-    q = np.linalg.qr(rng.normal(size=(m, min(m, k + OVERSAMPLE))))[0]
-    for _ in range(power_iterations + 1):
-        y = _back(docs, model, q)
-        q, _ = np.linalg.qr(y)
-    # eigenvectors of the Gram matrix in the basis: singular vectors and squared singular values
-    y = _back(docs, model, q)
-    values, vectors = np.linalg.eigh(q.T @ y)
-    top = np.argsort(values)[::-1][:k]
-    v = q @ vectors[:, top]
-    # the largest entry of a component is positive, so that the sign is the same in every run
-    v *= np.sign(v[np.abs(v).argmax(0), np.arange(v.shape[1])])
-    model.components = v
-    return model
+    dfs = vocab.column("df").to_numpy() if terms else np.zeros(0)
+    idf = np.log((1 + n) / (1 + dfs)) + 1
+    packed = materialize(_packed(counted, terms, keep))
+    drop(counted)
+    k = max(1, min(c.components or c.dim, n - 1, m - 1))
+    dense = L.dense_terms(dfs, n)
+    q = L.Blocks("", 0, k)
+    if terms:
+        q = L.decompose(spark, packed, packed._scratch_path, idf, dense, k, min(m, k + OVERSAMPLE), power_iterations + 1, SEED)
+    return LsaModel({t: i for i, t in enumerate(terms)}, idf, q, c.dim, c.normalize, f"lsa-{int(time.time() * 1000):x}", dense), packed
 
 
-def _back(docs: DataFrame, model: LsaModel, q: np.ndarray) -> np.ndarray:
-    """X' (X q), features x columns: each partition sums its share, terms it has not stay out."""
-    width = q.shape[1]
+def _packed(counted: DataFrame, terms: list[str], keep: tuple[str, ...]) -> DataFrame:
+    """Rows of term counts in packs, with the kept columns as arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(model.idf), width))
-        seen = np.zeros(len(model.idf), bool)
-        for batch in batches:
-            d, c, w = model.rows(batch.column("terms").to_pylist())
-            if len(d):
-                # a document names a term once
-                for _, a, b in _runs(d):
-                    total[c[a:b]] += np.outer(w[a:b], w[a:b] @ q[c[a:b]])
-                seen[c] = True
-        at = np.flatnonzero(seen)
-        for a in range(0, len(at), 4096):
-            part = at[a : a + 4096]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([total[i].tobytes() for i in part], pa.binary())], ["i", "v"])
-
-    def add(t: pa.Table) -> pa.Table:
-        v = np.frombuffer(b"".join(t.column("v").to_pylist()), float).reshape(-1, width)
-        ids, inverse = np.unique(t.column("i").to_numpy(), return_inverse=True)
-        out = np.zeros((len(ids), width))
-        np.add.at(out, inverse, v)
-        return pa.table({"i": pa.array(ids), "v": pa.array([x.tobytes() for x in out], pa.binary())})
-
-    parts = docs.mapInArrow(run, "i long, v binary")
-    got = parts.groupBy((F.col("i") % 64).alias("b")).applyInArrow(add, "i long, v binary").toArrow()
-    out = np.zeros((len(model.idf), width))
-    if got.num_rows:
-        out[got.column("i").to_numpy()] = np.frombuffer(b"".join(got.column("v").to_pylist()), float).reshape(-1, width)
-    return out
+        known = pa.array(terms, pa.string())
+        for batch in (whole.slice(a, L.PACK_ROWS) for whole in batches for a in range(0, whole.num_rows, L.PACK_ROWS)):
+            for a, b, row in L.packs(*_entries(batch.column("terms"), batch.column("tfs"), known), batch.num_rows):
+                kept = [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), batch.column(x)[a:b]) for x in keep]
+                cells = [pa.array([row[x]], pa.binary() if isinstance(row[x], bytes) else pa.int32()) for x in L.PACKED_NAMES]
+                yield pa.RecordBatch.from_arrays([*kept, *cells], [*keep, *L.PACKED_NAMES])
+
+    kinds = "".join(f"`{c}` array<{counted.schema[c].dataType.simpleString()}>, " for c in keep)
+    return counted.mapInArrow(run, kinds + L.PACKED)
 
 
 # ---------------------------------------------------------------- other backends

@@ -37,15 +37,30 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomtext-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(release)
-    _written.append((spark, path))
+    _register(spark, path)
     # the schema is known; without it an empty table could not be read back
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
 
 
+def folder(spark: SparkSession) -> str:
+    """A folder for files that tasks write and read by pyarrow; deleted as scratch tables are."""
+    from pyarrow import fs
+
+    path = f"{shared_dir(spark)}/loomtext-{uuid.uuid4().hex}"
+    files, at = fs.FileSystem.from_uri(path)
+    files.create_dir(at)
+    _register(spark, path)
+    return path
+
+
+def _register(spark: SparkSession, path: str) -> None:
+    if not _written:
+        atexit.register(release)
+    _written.append((spark, path))
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete scratch tables that materialize gave and that nothing unwritten needs any more."""
     for t in tables:

@@ -26,6 +26,53 @@ def test_fit_has_the_exact_singular_values(spark):
     assert (v[:, 4:] == 0).all()
 
 
+def test_components_never_meet_the_driver(spark, monkeypatch):
+    import pickle
+
+    from loomtext.operators import latent as L
+
+    monkeypatch.setattr(L, "SLAB", 64)
+    monkeypatch.setattr(L, "BLOCK", 7)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 60) if x < 5000) for _ in range(80)]
+    m, packed = E.fit_packed(df := spark.createDataFrame(list(enumerate(texts)), "id long, text string"), config=EmbeddingConfig(dim=75), keep=("id",))
+    # the matrix of features x components is in files, in rows and columns that a task holds by themselves
+    assert len(m.blocks.slabs) > 5 and len(m.blocks.parts) == 11
+    assert len(pickle.dumps(m)) < m.components.nbytes / 4
+    got = {r["id"]: r["embedding"] for r in m.embed_packed(packed).collect()}
+    again = {r["id"]: r["v"] for r in df.select("id", m.embed(F.col("text")).alias("v")).collect()}
+    v = np.array([got[i] for i in range(80)])
+    assert np.allclose(v, [again[i] for i in range(80)], atol=1e-5)
+    d, c, w = m.rows([t.split() for t in texts])
+    x = np.zeros((80, len(m.idf)))
+    x[d, c] = w
+    u, s, _ = np.linalg.svd(x, full_matrices=False)
+    want = u[:, :75] * s[:75]
+    want /= np.linalg.norm(want, axis=1, keepdims=True)
+    assert np.allclose(v @ v.T, want @ want.T, atol=1e-4)
+
+
+def test_a_half_replaced_matrix_is_made_anew(spark, monkeypatch):
+    from loomtext.operators import latent as L
+
+    made, real = [], L._decompose
+
+    def lost(spark, uri, *rest):
+        made.append(uri)
+        if len(made) == 1:
+            raise RuntimeError("HalfReplacedError: lost")
+        return real(spark, uri, *rest)
+
+    monkeypatch.setattr(L, "_decompose", lost)
+    m = E.fit_lsa(spark.createDataFrame([(t,) for t in TEXTS], "text string"), config=EmbeddingConfig(dim=3))
+    assert len(set(made)) == 2 and m.components.shape[1] == 3
+    q = L.Blocks(m.blocks.uri, 10, 2, 5)
+    q.write(0, 0, np.ones((5, 2)))
+    assert q.there([(0, 0)]) and not q.there([(1, 0)])
+    with pytest.raises(L.HalfReplacedError):
+        q.there([(0, 0), (1, 0)])
+
+
 def test_model_survives_saving(spark, tmp_path):
     df = spark.createDataFrame([(t,) for t in TEXTS], "text string")
     m = E.fit_lsa(df, config=EmbeddingConfig(dim=4, components=3))
