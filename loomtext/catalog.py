@@ -336,9 +336,10 @@ def lsa_embed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lsa_search(spark: SparkSession, d: str) -> DataFrame:
-    model, rows = _lsa(spark, d)
+    rows = _t(spark, d, "chunks").where("chunk_text IS NOT NULL").select("id", "document_id", "chunk_index", "chunk_text")
+    model, packed = E.fit_packed(rows, "chunk_text", EmbeddingConfig(), keep=("id", "document_id", "chunk_index"))
     vector = model.embed_query(spark, "慢性肾结石的临床表现")
-    return Q.search_chunks(_t(spark, d, "site_documents"), rows.withColumn("embedding", model.embed(F.col("chunk_text"))), vector, 5)
+    return Q.search_chunks(_t(spark, d, "site_documents"), rows, vector, 5, vectors=model.embed_packed(packed))
 
 
 def _load(spark: SparkSession, d: str, times: int) -> list[dict]:

@@ -32,7 +32,7 @@ def top_k(df: DataFrame, query: list[float], k: int = 5, tie: tuple[str, ...] =
 def search_chunks(documents: DataFrame, chunks: DataFrame, query: list[float], k: int = 5, sources: list[str] | None = None, vectors: DataFrame | None = None) -> DataFrame:
     """(source, url, title, chunk_index, text, similarity) of the k chunks most similar to the query.
 
-    vectors (document_id, chunk_index, embedding, source) if they aren't in `chunks`. No sources: all of them. A chunk of no document is
+    vectors (document_id, chunk_index, embedding, source, and id if chunks have one) if they aren't in `chunks`. No sources: all of them. A chunk of no document is
     no hit. Sources go to the scans of all tables that have them; similarities come first, so that what is joined are ids and
     numbers, and texts and titles are read for the k hits only. Rows of one document and index are hits of their own.
     """
@@ -44,7 +44,7 @@ def search_chunks(documents: DataFrame, chunks: DataFrame, query: list[float], k
         # a chunk lies where its document does
         found, chunks = (x.where(own) if "source" in x.columns else x for x in (found, chunks))
     # chunks loaded twice have ids of their own
-    key = ["document_id", "chunk_index", *(["id"] if vectors is None and "id" in chunks.columns else [])]
+    key = ["document_id", "chunk_index", *(["id"] if "id" in found.columns and "id" in chunks.columns else [])]
     near = found.where(F.col("embedding").isNotNull()).select(*key, V.cosine_to(F.col("embedding"), list(query)).alias("similarity"))
     best = near.join(docs.select("document_id"), "document_id", "left_semi").orderBy(F.desc("similarity"), *key).limit(k)
     hits = chunks.select(*key, F.col("chunk_text").alias("text")).join(F.broadcast(best), key)  # k rows

@@ -54,6 +54,28 @@ def test_lsa_is_fitted_in_full(spark, small):
     assert len(catalog.lsa_embed(spark, small).first()["embedding"]) == 1024
 
 
+def test_lsa_search_reads_texts_once(spark, small, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from loomtext.operators import search as Q
+
+    fitted, real = [], E.fit_packed
+    monkeypatch.setattr(E, "fit_packed", lambda *a, **k: fitted.append(real(*a, **k)) or fitted[-1])
+    # the vectors come from the counts that the model was fitted on, and the matrix never leaves its folder
+    monkeypatch.setattr(E.LsaModel, "embed", None)
+    monkeypatch.setattr(E.LsaModel, "components", None)
+    got = catalog.lsa_search(spark, small).collect()
+    monkeypatch.undo()
+    model = fitted[0][0]
+    rows = spark.read.parquet(f"{small}/chunks.parquet").where("chunk_text IS NOT NULL")
+    vector = model.embed_query(spark, "慢性肾结石的临床表现")
+    want = Q.search_chunks(spark.read.parquet(f"{small}/site_documents.parquet"), rows.withColumn("embedding", model.embed(F.col("chunk_text"))), vector, 5).collect()
+    assert len(got) == len(want) == 5
+    assert np.allclose([r["similarity"] for r in got], [r["similarity"] for r in want], atol=2e-4)
+    assert {r["text"] for r in got} == {r["text"] for r in want}
+
+
 def test_recall_of_the_index(spark, small):
     pairs = lambda f: {(r["query_id"], r["vec_id"]) for r in f(spark, small).collect()}
     exact, near = pairs(catalog.topk_batched), pairs(catalog.topk_indexed)
